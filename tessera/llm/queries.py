@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op01_sentencepiece
+from . import op01_sentencepiece, op04_pii
 from .common import documents
 
 
@@ -14,5 +14,9 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op01_sentencepiece.round_trip(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece}
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op04_pii.find(documents(spark, sf_dir))
+
+
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op4_pii": op4_pii}
 ORACLES: dict[str, str] = {}
