@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op01_sentencepiece, op04_pii
+from . import op01_sentencepiece, op04_pii, op08_language, op09_quality
 from .common import documents
 
 
@@ -18,5 +18,20 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op04_pii.find(documents(spark, sf_dir))
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op4_pii": op4_pii}
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op08_language.predict_held_out(documents(spark, sf_dir))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    ratings = op09_quality.grades(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return op09_quality.score(docs, op09_quality.train(docs, ratings))
+
+
+QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op4_pii": op4_pii,
+    "op8_language_id": op8_language_id,
+    "op9_quality": op9_quality,
+}
 ORACLES: dict[str, str] = {}
