@@ -31,7 +31,7 @@ LONGEST_KEPT = 64
 
 
 class ChunkTable:
-    """Distinct marked words of a model's texts: ids as tuple and as text, and decoded text."""
+    """Distinct marked words of a model's texts: their ids, written out with commas, and their decoded text."""
 
     def __init__(self, model_file: str):
         import sentencepiece
@@ -53,53 +53,60 @@ class ChunkTable:
         self.cut = re.compile(f"{MARK}*[{kept}]+|{MARK}+|[^{MARK}]")
         self.alone = sp.piece_to_id(MARK)
         self.lead = sp.piece_to_id("a")
-        self.ids: dict[str, tuple[int, ...]] = {}
+        self.say = list(map(str, range(sp.get_piece_size())))
         self.csv: dict[str, str] = {}
         self.plain: dict[str, str] = {}
+        self.long: list[str] = []
 
     def chunks(self, text: str) -> list[str]:
         """Marked words of a text; a mark is put before it, as the model does."""
-        if not text:
+        return self.cut.findall(MARK + text.replace(" ", MARK)) if text else []
+
+    def learn(self, found: list[list[str]]) -> None:
+        """Segment the marked words that the table lacks, each distinct one once."""
+        csv, plain = self.csv, self.plain
+        if len(csv) > TABLE_ENTRIES:
+            csv.clear()
+            plain.clear()
+        for c in self.long:
+            csv.pop(c, None)
+            plain.pop(c, None)
+        new = [c for c in set().union(*found) if c not in csv]
+        self.long = [c for c in new if len(c) > LONGEST_KEPT]
+        marked, bare = [c for c in new if c[0] == MARK and c != MARK], [c for c in new if c[0] != MARK]
+        ids = self.sp.encode([c[1:] for c in marked], num_threads=1) if marked else []
+        if bare:
+            ids += [i[2:] for i in self.sp.encode(["\n" + c for c in bare], num_threads=1)]  # behind a lone mark and a line feed
+        known = marked + bare
+        if MARK in new:
+            known.append(MARK)
+            ids.append([self.alone])
+        say = self.say
+        csv.update(zip(known, [",".join([say[i] for i in own]) for own in ids]))
+        plain.update(zip(known, self._decode(ids)))
+
+    def _decode(self, runs: list[list[int]]) -> list[str]:
+        if not runs:
             return []
-        found = self.cut.findall(MARK + text.replace(" ", MARK))
-        if len(self.ids) > TABLE_ENTRIES:
-            for table in (self.ids, self.csv, self.plain):
-                table.clear()
-        for chunk in set(found) - self.ids.keys():
-            self.ids[chunk] = ids = self._segment(chunk)
-            self.csv[chunk] = ",".join(map(str, ids))
-            self.plain[chunk] = self._decode(ids)
-        return found
-
-    def forget_long(self, found: list[str]) -> None:
-        for chunk in {c for c in found if len(c) > LONGEST_KEPT}:
-            del self.ids[chunk], self.csv[chunk], self.plain[chunk]
-
-    def _segment(self, chunk: str) -> tuple[int, ...]:
-        if chunk == MARK:
-            return (self.alone,)
-        if chunk[0] == MARK:
-            return tuple(self.sp.encode(chunk[1:]))
-        return tuple(self.sp.encode("\n" + chunk)[2:])  # behind a lone mark and a line feed
-
-    def _decode(self, ids: tuple[int, ...]) -> str:
-        return self.sp.decode([self.lead, *ids])[1:]  # behind another piece the mark is not dropped
-
-    def encode(self, text: str) -> list[int]:
-        found = self.chunks(text)
-        out = [i for chunk in found for i in self.ids[chunk]]
-        self.forget_long(found)
+        return [t[1:] for t in self.sp.decode([[self.lead, *ids] for ids in runs], num_threads=1)]  # behind another piece the mark is not dropped
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        found = list(map(self.chunks, texts))
+        self.learn(found)
+        return [[int(i) for c in own for i in self.csv[c].split(",")] for own in found]
+
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Number of ids, SHA-256 of the ids joined by commas, SHA-256 of the decoded text, of each text."""
+        out = []
+        for at in range(0, len(texts), 64):
+            found = list(map(self.chunks, texts[at : at + 64]))
+            self.learn(found)
+            for own in found:
+                ids = ",".join(map(self.csv.__getitem__, own))
+                back = "".join(map(self.plain.__getitem__, own))[1:]
+                out.append((ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
         return out
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of the ids joined by commas, SHA-256 of the decoded text."""
-        found = self.chunks(text)
-        ids = ",".join(map(self.csv.__getitem__, found))
-        back = "".join(map(self.plain.__getitem__, found))[1:]
-        n = sum(map(len, map(self.ids.__getitem__, found)))
-        self.forget_long(found)
-        return n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
-
     def decode(self, ids: list[int]) -> str:
         """Text of an id sequence: cut before each marked piece, every distinct run decoded once."""
         runs, start = [], 0
@@ -108,7 +115,8 @@ class ChunkTable:
                 runs.append(tuple(ids[start:k]))
                 start = k
         runs.append(tuple(ids[start:]))
-        known = {run: self._decode(run) for run in set(runs) if run}
+        distinct = [run for run in set(runs) if run]
+        known = dict(zip(distinct, self._decode(distinct)))
         out = "".join(known[run] for run in runs if run)
         return out[1:] if ids and self.sp.id_to_piece(int(ids[0])).startswith(MARK) else out
 
@@ -130,7 +138,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(model_file)
         for batch in batches:
-            ids = pa.array([table.encode(t.as_py() or "") for t in batch.column(1)], pa.list_(pa.int32()))
+            ids = pa.array(table.encode([t.as_py() or "" for t in batch.column(1)]), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], [id_col, "ids"])
 
     return rows.mapInArrow(work, f"`{id_col}` {dict(rows.dtypes)[id_col]}, ids array<int>")
@@ -158,7 +166,7 @@ def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(model_file)
         for batch in batches:
-            n, ids, back = zip(*(table.digest(t.as_py() or "") for t in batch.column(1))) if batch.num_rows else ((), (), ())
+            n, ids, back = zip(*table.digests([t.as_py() or "" for t in batch.column(1)])) if batch.num_rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
