@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op01_sentencepiece, op04_pii, op08_language, op09_quality
+from . import op01_sentencepiece, op04_pii, op07_mixing, op08_language, op09_quality
 from .common import documents
 
 
@@ -28,10 +28,16 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op09_quality.score(docs, op09_quality.train(docs, ratings))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = op07_mixing.mix(documents(spark, sf_dir))
+    return mixed.select("doc_id", "source", *(mixed[f"mix_{c}"].alias(c) for c in ("slots", "block", "release", "deadline", "slot", "position")))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_pii": op4_pii,
+    "op7_mixing": op7_mixing,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_mixing": op07_mixing.ORACLE}
