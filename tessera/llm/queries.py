@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op01_sentencepiece, op04_pii, op07_mixing, op08_language, op09_quality
+from . import op01_sentencepiece, op04_pii, op06_spotsigs, op07_mixing, op08_language, op09_quality
 from .common import documents
 
 
@@ -28,6 +28,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op09_quality.score(docs, op09_quality.train(docs, ratings))
 
 
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op06_spotsigs.fingerprints(documents(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = op07_mixing.mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "source", *(mixed[f"mix_{c}"].alias(c) for c in ("slots", "block", "release", "deadline", "slot", "position")))
@@ -36,6 +40,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_pii": op4_pii,
+    "op6_spotsigs": op6_spotsigs,
     "op7_mixing": op7_mixing,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
