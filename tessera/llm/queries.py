@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op01_sentencepiece, op04_pii, op06_spotsigs, op07_mixing, op08_language, op09_quality
+from . import op01_sentencepiece, op04_pii, op06_spotsigs, op07_mixing, op08_language, op09_quality, op10_secrets
 from .common import documents
 
 
@@ -37,6 +37,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", *(mixed[f"mix_{c}"].alias(c) for c in ("slots", "block", "release", "deadline", "slot", "position")))
 
 
+def op10_secrets_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return op10_secrets.report(docs, op10_secrets.train(op10_secrets.labelled_findings(docs)))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_pii": op4_pii,
@@ -44,5 +49,6 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
+    "op10_secrets_scan": op10_secrets_scan,
 }
 ORACLES: dict[str, str] = {"op7_mixing": op07_mixing.ORACLE}

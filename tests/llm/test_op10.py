@@ -1,0 +1,60 @@
+import hashlib
+import re
+
+import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from tessera.llm import op10_secrets as op
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return op.train(op.labelled_findings(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
+
+
+def test_expression_is_the_forest(spark, model):
+    findings = op.labelled_findings(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    rows = findings.selectExpr("double(label) label", "c", "before", *(f"double({f}) {n}" for n, f in op.FEATURES.items()))
+    rows = model.transform(VectorAssembler(inputCols=list(op.FEATURES), outputCol="features").transform(rows))
+    rows = rows.withColumn("f", F.array(*op.FEATURES)).withColumn("p", F.expr(op.forest_sql(model))).withColumn("q", vector_to_array("probability")[1])
+    got = rows.collect()
+    assert max(abs(r.p - r.q) for r in got) < 1e-9
+    wrong = [(r.label, r.c, r.before) for r in got if (r.p >= 0.5) != (r.label == 1)]
+    assert len(wrong) < 0.01 * len(got), wrong[:5]
+
+
+def test_table(spark, model):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = op.report(docs.withColumn("spans", F.lit(1)).withColumn("scan__", F.lit(1)), model).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        t = texts[r.doc_id]
+        planted = {(m.start(1), m.end(1)) for m in re.finditer(r'token = "([0-9a-f]{40})"', t, re.I)}
+        spans = [tuple(map(int, s.split(":"))) for s in r.spans.split(",") if s]
+        assert set(spans) == planted, (r.doc_id, [t[a - 20 : b + 5] for a, b in set(spans) ^ planted])
+        assert r.n_secrets == len(spans) <= r.n_candidates
+        for a, b in reversed(spans):
+            t = t[:a] + op.MASK + t[b:]
+        assert r.redacted_sha256 == hashlib.sha256(t.encode()).hexdigest()
+
+
+def test_edges(spark, model):
+    key = "0123456789abcdef0123456789abcdef01234567"
+    many = " ".join(f'token = "{hashlib.sha1(str(i).encode()).hexdigest()}" commit {hashlib.sha1(str(-i).encode()).hexdigest()} é' for i in range(300))
+    texts = [None, "", " ", f'token = "{key}"', key, f"see commit {key} now", "1" * 300_000, many, many, f'secret: "{key}"=="']
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(None, f'a token = "{key}"', "y")], "doc_id long, text string, c string")
+    got = {r.doc_id: r for r in op.report(docs, model).collect()}
+    assert len(got) == 11 and got[0].n_candidates == got[1].n_candidates == 0
+    assert got[3].spans == "9:49" and got[5].n_secrets == 0 and got[None].n_secrets == 1
+    assert got[7].n_secrets == 300 == got[8].n_secrets
+    for s in got[7].spans.split(","):
+        a, b = map(int, s.split(":"))
+        assert re.fullmatch("[0-9a-f]{40}", many[a:b]) and many[a - 9 : a] == 'token = "'
+    out = {r.doc_id: r for r in op.redact(docs, model).collect()}
+    assert out[0].text is None and out[3].text == f'token = "{op.MASK}"' and out[5].text == texts[5] and out[3].c == "x"
+    assert op.report(docs.limit(0), model).count() == 0
+    assert op.train(op.labelled_findings(docs.limit(0))) is None
+    assert op.report(docs, None).filter("n_secrets > 0").count() == 0
