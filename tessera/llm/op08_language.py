@@ -107,7 +107,7 @@ def _counted(rows: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, key: str = "doc_id") -> Model:
     """Fit on ``text`` and ``lang`` of the rows given; ``key`` only chooses the bounded sample."""
     rows = labelled.filter("lang is not null and text is not null").select(F.xxhash64(key).alias("h"), "lang", "text")
-    by = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    by = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("n")))  # a row for each language code
     # twice the wanted share of each language by hash, then exactly the first by hash
     likely = rows.join(by, "lang").filter(F.pmod("h", F.lit(1 << 20)) <= (F.lit(2.0 * TRAIN_PER_LANG) / F.col("n")) * (1 << 20) + 2)
     w = Window.partitionBy("lang").orderBy("h", "text")
