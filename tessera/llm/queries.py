@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op01_sentencepiece, op04_pii, op06_spotsigs, op07_mixing, op08_language, op09_quality, op10_secrets
+from . import op01_sentencepiece, op03_minhash, op04_pii, op05_topk, op06_spotsigs, op07_mixing, op08_language, op09_quality, op10_secrets
 from .common import documents
 
 
@@ -14,6 +14,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op01_sentencepiece.round_trip(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op03_minhash.components(documents(spark, sf_dir))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op04_pii.find(documents(spark, sf_dir))
 
@@ -28,6 +32,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op09_quality.score(docs, op09_quality.train(docs, ratings))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op05_topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op06_spotsigs.fingerprints(documents(spark, sf_dir))
 
@@ -44,11 +52,13 @@ def op10_secrets_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_minhash": op3_minhash,
     "op4_pii": op4_pii,
+    "op5_topk": op5_topk,
     "op6_spotsigs": op6_spotsigs,
     "op7_mixing": op7_mixing,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
     "op10_secrets_scan": op10_secrets_scan,
 }
-ORACLES: dict[str, str] = {"op7_mixing": op07_mixing.ORACLE}
+ORACLES: dict[str, str] = {"op5_topk": op05_topk.ORACLE, "op7_mixing": op07_mixing.ORACLE}
