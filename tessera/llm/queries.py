@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op01_sentencepiece, op03_minhash, op04_pii, op05_topk, op06_spotsigs, op07_mixing, op08_language, op09_quality, op10_secrets
+from . import op01_sentencepiece, op02_substrings, op03_minhash, op04_pii, op05_topk, op06_spotsigs, op07_mixing, op08_language, op09_quality, op10_secrets
 from .common import documents
 
 
@@ -14,6 +14,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op01_sentencepiece.round_trip(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op02_substrings.remove_repeated(documents(spark, sf_dir)).drop("removed")
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op03_minhash.components(documents(spark, sf_dir))
 
@@ -52,6 +56,7 @@ def op10_secrets_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_substrings": op2_substrings,
     "op3_minhash": op3_minhash,
     "op4_pii": op4_pii,
     "op5_topk": op5_topk,
