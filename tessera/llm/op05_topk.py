@@ -2,7 +2,7 @@
 
 Vectors become integers, floor(64 x). Within a block of candidates every component has a list of its entries in
 order of value; a query reads the list of component j from the top where its own component is positive, from the bottom where
-it is negative, so its terms fall along each list. Lists are read in step, sequentially. The sum of the terms read, plus the
+it is negative, so its terms fall along each list. Lists are read in step, sequentially, to one depth after another. The sum of the terms read, plus the
 last (least possible) term of the lists in which a candidate is still unread, is its lower bound; plus the current term of those
 lists, its upper bound. Reading stops when few candidates can still reach the k-th best lower bound; outsiders cannot qualify
 then, and the final scores of the others are resolved. Blocks give their k best, which are merged by query.
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from .common import checkpoint
 
 K, EVERY = 20, 20
-CANDIDATE_BLOCK, QUERY_BLOCK = 2048, 1024
+CANDIDATE_BLOCK, QUERY_BLOCK = 4096, 4096
+DEPTHS = (0.25, 0.6)
 SCALE, LARGEST = 64, 1 << 21
 
 
@@ -56,45 +57,59 @@ def integers(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embeddin
 
 
 class Block:
-    """Candidates with, for each component, the order of their entries."""
+    """Candidates with, for each component, the order of their entries; reads all lists to the depths ``DEPTHS`` (shares of the block).
+
+    What a depth gives is the same for every query but for the sign of its components, so bounds of many queries come from one
+    product of matrices: entries read from the top of their lists count for positive components, from the bottom for negative ones.
+    """
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         by = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[by], x[by].astype(np.float64)
-        self.order = np.argsort(self.x, axis=0, kind="stable")
-
-    def best(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, scores) of the k best candidates, by score and then id."""
-        n, dims = self.x.shape
-        terms = q.astype(np.float64)
-        down = terms >= 0
-        total = np.zeros(n)
-        unread = np.ones((n, dims), np.float64)
-        end = np.where(down, 0, n - 1)
-        last = terms * self.x[self.order[end, np.arange(dims)], np.arange(dims)]
-        free = self.ids != own
-        depth, columns = 0, np.arange(dims)[None, :]
-        while True:
-            step = max(64, n // 8) if depth == 0 else max(64, n // 16)
-            to = min(n, depth + step)
-            places = np.where(down[None, :], n - 1 - np.arange(depth, to)[:, None], np.arange(depth, to)[:, None])
-            rows = self.order[places, columns]
-            values = self.x[rows, columns] * terms
-            total += np.bincount(rows.ravel(), values.ravel(), n)
-            unread[rows, np.broadcast_to(columns, rows.shape)] = 0
-            depth = to
-            if depth == n:
+        n = len(ids)
+        order = np.argsort(self.x, axis=0, kind="stable")
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(n)[:, None], 0)
+        low, high = self.x.min(0), self.x.max(0)
+        self.levels = []
+        for depth in sorted({int(n * d) for d in DEPTHS} - {0, n}):
+            top, bottom = rank >= n - depth, rank < depth
+            at_top, at_bottom = np.take_along_axis(self.x, order[n - depth][None], 0)[0], np.take_along_axis(self.x, order[depth - 1][None], 0)[0]
+            upper = np.concatenate([(self.x - at_top) * top, (self.x - at_bottom) * bottom], 1), np.concatenate([at_top, at_bottom])
+            lower = np.concatenate([(self.x - low) * top, (self.x - high) * bottom], 1), np.concatenate([low, high])
+            self.levels.append((lower, upper))
+
+    def best(self, own: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, row, score) of the k best candidates of each query, by score and then id."""
+        q = queries.astype(np.float64)
+        signed = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], 1)
+        # products of small integers are exact in float32, which is faster
+        small = np.abs(q).max(initial=0) * np.abs(self.x).max(initial=0) * 4 * q.shape[1] < 1 << 24
+        kind = np.float32 if small else np.float64
+        signed, out, left = signed.astype(kind), [], np.arange(len(q))
+        for lower, upper in self.levels:
+            if len(self.ids) <= 2 * k or not len(left):
                 break
-            lower, upper = total + unread @ last, total + unread @ values[-1]
-            if free.sum() > k:
-                bar = np.partition(lower[free], -k)[-k]
-                can = free & (upper >= bar)
-                if can.sum() <= max(2 * k, n // 8):
-                    break
-        can = np.flatnonzero(free if depth == n else can)
-        score = self.x[can] @ terms
-        first = np.lexsort((self.ids[can], -score))[:k]
-        return can[first], score[first]
+            bound = lambda side: signed[left] @ side[0].T.astype(kind) + (signed[left] @ side[1].astype(kind))[:, None]
+            low = bound(lower)
+            low[own[left][:, None] == self.ids[None, :]] = -np.inf
+            bar = np.partition(low, -k, 1)[:, -k]
+            can = bound(upper) >= bar[:, None]
+            few = can.sum(1) <= max(2 * k, len(self.ids) // 16)
+            for i, row in zip(left[few], can[few]):  # outsiders cannot qualify: the others are resolved
+                rows = np.flatnonzero(row & (self.ids != own[i]))
+                out.append((i, rows, self.x[rows] @ q[i]))
+            left = left[~few]
+        for at in range(0, len(left), 256):
+            part = left[at : at + 256]
+            score = q[part].astype(kind) @ self.x.T.astype(kind)
+            score[own[part][:, None] == self.ids[None, :]] = -np.inf
+            bar = np.partition(score, -k, 1)[:, -k] if score.shape[1] > k else np.full(len(part), -np.inf)
+            for i, row, b in zip(part, score, bar):
+                rows = np.flatnonzero((row >= b) & (row > -np.inf))
+                out.append((i, rows, row[rows].astype(np.float64)))
+        chosen = [(np.full(min(k, len(rows)), i), rows[f], score[f]) for i, rows, score in out for f in [np.lexsort((self.ids[rows], -score))[:k]]]
+        return tuple(np.concatenate(c) for c in zip(*chosen)) if chosen else (np.zeros(0, int),) * 3
 
 
 def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
@@ -106,16 +121,14 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     right = queries.select("dim", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("c"), block(n_q).alias("q"), "vec_id", "v")
 
     def work(key, mine: pa.Table, asked: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
-        if mine.num_rows and asked.num_rows:
-            read = lambda t: (t.column("vec_id").to_numpy(), np.stack([np.frombuffer(v.as_buffer(), np.int64) for v in t.column("v")]))
-            has = Block(*read(mine))
-            for own, q in zip(*read(asked)):
-                rows, score = has.best(own, q, k)
-                out["query_id"] += [int(own)] * len(rows)
-                out["vec_id"] += has.ids[rows].tolist()
-                out["score"] += score.astype(np.int64).tolist()
-        return pa.table(out, schema=pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())]))
+        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+        if not mine.num_rows or not asked.num_rows:
+            return schema.empty_table()
+        read = lambda t: (t.column("vec_id").to_numpy(), np.stack([np.frombuffer(v.as_buffer(), np.int64) for v in t.column("v")]))
+        has, (own, q) = Block(*read(mine)), read(asked)
+        got = [has.best(own[at : at + 512], q[at : at + 512], k) for at in range(0, len(own), 512)]
+        cols = [(own[at + i], has.ids[rows], score.astype(np.int64)) for at, (i, rows, score) in zip(range(0, len(own), 512), got)]
+        return pa.table([np.concatenate(c) for c in zip(*cols)], schema=schema)
 
     found = left.groupBy("dim", "c", "q").cogroup(right.groupBy("dim", "c", "q")).applyInArrow(work, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
