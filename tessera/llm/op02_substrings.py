@@ -252,7 +252,8 @@ def _bucketed(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary").alias("text"))
     total = docs.agg(F.sum(F.octet_length(docs["text"].cast("string")))).first()[0] or 0
-    n = max(4, -(-total // BUCKET_BYTES))
+    # with fewer buckets than shuffle partitions the planner would shuffle the texts after all
+    n = max(4, -(-total // BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     if n * rows.rdd.getNumPartitions() > MOST_FILES:  # else every task writes its own file of each bucket, and nothing is shuffled
         rows = rows.repartition(n, "row")
     name = "texts_" + scratch_path(spark, "").rpartition("-")[2]
