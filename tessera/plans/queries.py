@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as fn
 from ..operators import clicks, orders, ranking, ratings, recommend, relational, rerank, similar
-from ..sources import files
+from ..sources import files, sinks
 from .inputs import CLICK_LINES, RATINGS, cents, click_lines, table
 from .inputs import ratings as rating_rows
 
@@ -269,9 +269,34 @@ def artists(spark: SparkSession, d: str) -> DataFrame:
     return ratings.artists(lines)
 
 
+@query(f"""WITH {RATINGS} SELECT CAST("user" AS INTEGER) AS "user", CAST(item AS INTEGER) AS item, rating, CAST(event_id % 10 AS INTEGER) AS digit FROM ratings WHERE event_id % 37 <> 0""")
+def tuple_ratings(spark: SparkSession, d: str) -> DataFrame:
+    """Ratings written as tuple text and read again; some lines are damaged and rejected."""
+    rows = rating_rows(spark, d).withColumn("digit", F.col("event_id") % 10)
+    lines = sinks.as_tuples(rows.filter("event_id % 37 <> 0"), "user", "item", "rating", "digit")
+    damaged = sinks.as_tuples(rows.filter("event_id % 37 = 0"), "user", "rating", "item", "digit")
+    good, _ = files.tuples(lines.unionByName(damaged), [("user", "int"), ("item", "int"), ("rating", "double"), ("digit", "int")])
+    return good
+
+
+@query("""SELECT o_custkey AS "user", string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY rank) AS items FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 5 GROUP BY 1""")
+def top_id_lists(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select(F.col("o_custkey").alias("user"), F.col("o_orderkey").alias("item"), "o_totalprice")
+    return recommend.id_lists(relational.top_n_per_group(rows, "user", "o_totalprice", 5, "item"))
+
+
 # Orders
 
 
+@query("""SELECT CASE WHEN l_orderkey % 50 = 0 THEN 'no json ' || l_orderkey WHEN l_orderkey % 50 = 1 THEN '{"id":' || l_partkey || '}' END AS value, 'json' AS reason FROM lineitem WHERE l_orderkey % 50 <= 1""")
+def order_message_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Order messages as JSON; what cannot be read or lacks a field."""
+    line = F.expr("""case when l_orderkey % 50 = 0 then concat('no json ', l_orderkey) when l_orderkey % 50 = 1 then concat('{"id":', l_partkey, '}')
+        else to_json(named_struct('id', l_partkey, 'price', bigint(round(l_extendedprice * 100)))) end""")
+    return files.json_rows(table(spark, d, "lineitem").select(line.alias("value")), orders.ORDER_SCHEMA, ["id", "price"])[1]
+
+
 def _batches(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("batch_id"), F.col("l_partkey").alias("id"), cents("l_extendedprice").alias("price"))
     return orders.per_batch(rows, "batch_id")

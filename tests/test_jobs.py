@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from tessera.operators import clicks, orders, ranking, ratings, relational, rerank, similar
-from tessera.sources import files
+from tessera.sources import files, sinks
 
 
 def rows(df, *columns):
@@ -117,6 +117,13 @@ def test_orders(spark):
     assert rows(orders.grand_total(batches)) == [(4, 54)]
 
 
+def test_tuple_text_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2, 3.0, 4), (5, 6, 0.5, 7)], "user int, item int, rating double, digit int")
+    sinks.save_lines(sinks.as_tuples(df), str(tmp_path / "a/part"))
+    good, bad = files.tuples(files.lines(spark, str(tmp_path / "*/part")), [("user", "int"), ("item", "int"), ("rating", "double"), ("digit", "int")])
+    assert rows(good) == rows(df) and bad.isEmpty()
+
+
 def test_tuples(spark):
     good, bad = files.tuples(lines(spark, "(186,302,3.0,2)", "(1,2,x,3)", "1,2,3.0,4"), [("user", "int"), ("item", "int"), ("rating", "double"), ("digit", "int")])
     assert rows(good) == [(186, 302, 3.0, 2)] and bad.count() == 2
