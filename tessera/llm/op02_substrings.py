@@ -13,8 +13,8 @@ The plan is that of difference-cover suffix sorting, cut down to what strings of
 * **Merge.** What remains, the strings of the other runs (and of one run of each repeated class, as their possible
   partners), is sorted by sampled name and own name, and adjacent ones are compared.
 
-Positions within a run travel packed in one row. Runs that repeat inside one batch are counted before the shuffle, so
-a group of exact copies costs one row for each task. Texts are written once, bucketed by row, and met by the results of each step without
+Positions within a run travel packed in one row. Runs and strings that repeat inside one batch are counted before the shuffle, so
+a group of copies costs one row for each batch, and the strings of a sample that very many runs share are dealt into parts by name. Texts are written once, bucketed by row, and met by the results of each step without
 being shuffled. A text is read whole, in overlapping pieces.
 
 Defined results: null text counts as empty; texts shorter than ``LENGTH`` keep all bytes; overlapping repetitions within a text count;
@@ -36,7 +36,7 @@ from .common import checkpoint, scratch_path, small_batches
 
 LENGTH, GRAM = 400, 160
 PIECE, BUFFER = 1 << 21, 1 << 22
-BUCKET_BYTES, MOST_FILES = 24_000_000, 20_000
+BUCKET_BYTES, MOST_FILES, PART_RUNS = 24_000_000, 20_000, 5000
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 _LOW = np.uint64((1 << 30) - 1)
@@ -155,11 +155,17 @@ def _runs(table: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _strings(texts: DataFrame, length: int) -> DataFrame:
-    """a, row, p, whole, names: the packed names of the strings of each wanted run; input row, text, wanted (p, n, a, whole)."""
+    """a, part, row, p, whole, at, names: the packed names of the strings of each wanted run; input row, text, wanted (p, n, a, whole, parts).
+
+    ``at`` holds the offsets from p (null: 0, 1, 2 ...). The strings of a much-repeated sample are dealt into parts by their
+    names. Of strings that are equal within a batch only the first goes on; what they cover comes out at once, as rows without a
+    name (p, and its length in ``part``).
+    """
+    kinds = {"a": pa.int64(), "part": pa.int64(), "row": pa.int64(), "p": pa.int64(), "whole": pa.bool_(), "at": pa.binary(), "names": pa.binary()}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {"a": [], "row": [], "p": [], "whole": [], "names": []}
+            found: list[tuple] = []
             for row, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 wanted.sort(key=lambda w: w["p"])
                 raw, at, n81 = np.frombuffer(text.as_buffer(), np.uint8), -1, None
@@ -167,26 +173,52 @@ def _strings(texts: DataFrame, length: int) -> DataFrame:
                     if n81 is None or w["p"] + w["n"] + length - 1 > at + PIECE + 2 * length:
                         at = w["p"]
                         n81 = names_81(raw[at : at + PIECE + 2 * length])
-                    out["names"].append(names_at(n81, w["p"] - at + np.arange(w["n"]), length).tobytes())
-                    for f, v in (("a", w["a"]), ("row", row), ("p", w["p"]), ("whole", w["whole"])):
-                        out[f].append(v)
-            kinds = {"a": pa.int64(), "row": pa.int64(), "p": pa.int64(), "whole": pa.bool_(), "names": pa.binary()}
+                    found.append((w["a"], row, w["p"], w["whole"], w["parts"], names_at(n81, w["p"] - at + np.arange(w["n"]), length)))
+            out: dict[str, list] = {f: [] for f in kinds}
+            if found:
+                every = np.concatenate([f[5] for f in found])
+                order = np.argsort(every, kind="stable")
+                same = every[order][1:] == every[order][:-1]
+                again, hit = np.zeros(len(every), bool), np.zeros(len(every), bool)
+                again[order[1:][same]] = True  # not the first of its equals
+                hit[order[1:][same]] = hit[order[:-1][same]] = True
+                base = 0
+                for a, row, p, whole, parts, names in found:
+                    mine = slice(base, base + len(names))
+                    base += len(names)
+                    if not whole and hit[mine].any():
+                        own = np.flatnonzero(hit[mine])
+                        for s, e in zip(*(x.tolist() for x in merged(p + own, p + own + length))):
+                            for f, v in zip(kinds, (a, e - s, row, s, False, None, None)):
+                                out[f].append(v)
+                    kept = np.flatnonzero(~again[mine])
+                    share = (names[kept] >> np.uint64(40)) % np.uint64(parts) if parts > 1 else np.zeros(len(kept), np.uint64)
+                    for part in np.unique(share):
+                        at = kept[share == part]
+                        packed = None if len(at) == len(names) else at.astype(np.uint16).tobytes()
+                        for f, v in zip(kinds, (a, int(part), row, p, whole, packed, names[at].tobytes())):
+                            out[f].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[f], k) for f, k in kinds.items()], list(kinds))
 
-    return texts.mapInArrow(work, "a long, row long, p long, whole boolean, names binary")
+    return texts.mapInArrow(work, "a long, part long, `row` long, p long, whole boolean, `at` binary, names binary")
 
 
 def _repeated(strings: DataFrame, length: int) -> DataFrame:
-    """row, p, n: what the repeated strings cover in the runs that are not repeated as a whole; rows come sorted by sampled name."""
+    """row, p, n: what the repeated strings cover in the runs that are not repeated as a whole; rows come sorted by sampled name and part."""
 
     def groups(batches):
-        held: list[tuple] = []
+        key, held = None, []
         for batch in batches:
-            for r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4)):
-                if held and held[0][0] != r[0]:
+            for a, part, row, p, whole, at, names in zip(*(batch.column(i).to_pylist() for i in range(5)), batch.column(5), batch.column(6)):
+                if not names.is_valid:
+                    yield [(row, p, part)]
+                    continue
+                if key != (a, part) and held:
                     yield held
                     held = []
-                held.append(r)
+                key = (a, part)
+                names = np.frombuffer(names.as_buffer(), np.uint64)
+                held.append((row, p, whole, np.frombuffer(at.as_buffer(), np.uint16) if at.is_valid else np.arange(len(names)), names))
         if held:
             yield held
 
@@ -200,19 +232,21 @@ def _repeated(strings: DataFrame, length: int) -> DataFrame:
             return got
 
         for group in groups(batches):
-            if len(group) > 1 or len(group[0][4].as_buffer()) > 8:
-                names = [np.frombuffer(r[4].as_buffer(), np.uint64) for r in group]
-                every = np.concatenate(names)
+            if len(group[0]) == 3:  # found inside a batch
+                for x, v in zip(out, group[0]):
+                    x.append(v)
+            else:
+                every = np.concatenate([g[4] for g in group])
                 order = np.argsort(every, kind="stable")
                 same = every[order][1:] == every[order][:-1]  # adjacent strings
                 hit = np.zeros(len(every), bool)
                 hit[order[1:][same]] = hit[order[:-1][same]] = True
-                at = 0
-                for (_, row, p, whole, _), own in zip(group, names):
-                    found = np.flatnonzero(hit[at : at + len(own)])
-                    at += len(own)
-                    if not whole and len(found):
-                        s, e = merged(p + found, p + found + length)
+                base = 0
+                for row, p, whole, at, names in group:
+                    own = p + at[hit[base : base + len(names)]].astype(np.int64)
+                    base += len(names)
+                    if not whole and len(own):
+                        s, e = merged(own, own + length)
                         out[0] += [row] * len(s)
                         out[1] += s.tolist()
                         out[2] += (e - s).tolist()
@@ -275,14 +309,14 @@ def remove_repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     able = able.withColumn("times", F.sum("c").over(by_run)).withColumn("head", F.min(F.when(F.col("c") > 0, F.struct("row", "p"))).over(by_run))
     whole = F.col("times") > 1
     able = able.select(
-        "row", "p", "n", "a", whole.alias("whole"), (F.col("c") == 0).alias("inside"),
+        "row", "p", "n", "a", F.ceil(F.col("samples") / PART_RUNS).alias("parts"), whole.alias("whole"), (F.col("c") == 0).alias("inside"),
         ((F.col("c") > 0) & (~whole | (F.struct("row", "p") == F.col("head")))).alias("sorted"), (whole & (F.col("c") == 1)).alias("covered"),
     )
     able = checkpoint(able.filter("inside or sorted or covered"))
-    wanted = able.filter("sorted").groupBy("row").agg(F.collect_list(F.struct("p", "n", "a", "whole")).alias("wanted"))
+    wanted = able.filter("sorted").groupBy("row").agg(F.collect_list(F.struct("p", "n", "a", "whole", "parts")).alias("wanted"))
     texts = table.join(wanted.hint("shuffle_hash"), "row").select("row", "text", "wanted")
     strings = _strings(texts, length)
-    strings = strings.repartition(F.col("a")).sortWithinPartitions("a")
+    strings = strings.repartition(F.col("a"), F.col("part")).sortWithinPartitions("a", "part")
     single = _repeated(strings, length)
     cover = able.filter("inside").select("row", "p", "n").unionByName(able.filter("covered").select("row", "p", (F.col("n") + length - 1).alias("n"))).unionByName(single)
     cover = checkpoint(cover.groupBy("row").agg(F.collect_list(F.struct("p", "n")).alias("cover")))

@@ -65,6 +65,14 @@ def test_periodic_and_long_texts(spark, monkeypatch):
         assert (got["n"] > 0).all()
 
 
+def test_a_hot_passage_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(op, "PART_RUNS", 3)
+    rng = random.Random(21)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    hot = word(520)
+    check(spark, [(i, word(rng.randrange(400)) + hot[rng.randrange(150) :] + word(rng.randrange(400))) for i in range(90)])
+
+
 def test_pieces_do_not_change_the_result(spark):
     rng = random.Random(2)
     text = "".join(rng.choice("abcdef") for _ in range(30_000))
