@@ -42,6 +42,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def settled(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A checkpoint read in as few partitions as its rows ask for, so that later steps over small tables deal out little."""
+    done = checkpoint(df)
+    return done.coalesce(max(1, -(-done.count() // rows)))
+
+
 def scratch_path(spark: SparkSession, what: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import settled
 
 
 def _state(links: DataFrame) -> tuple:
@@ -17,7 +17,7 @@ def connected(links: DataFrame) -> DataFrame:
 
     Each round makes the longest path shorter by a constant factor and is cut off by a checkpoint.
     """
-    e = checkpoint(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    e = settled(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before, now = None, _state(e)
     while before != now and now[0]:
         # large star: every node links its larger neighbours to the smallest of its neighbourhood
@@ -27,6 +27,6 @@ def connected(links: DataFrame) -> DataFrame:
         # small star: every node links itself and its smaller neighbours to the smallest of them
         low = e.groupBy("u").agg(F.min("v").alias("m"))
         rest = e.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = checkpoint(rest.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        e = settled(rest.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         before, now = now, _state(e)
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -6,11 +6,11 @@ that agree in a band are candidates. With 40 bands of 5 values, two sets of Jacc
 other with probability 2e-5, of 0.8 with 1e-7. Candidates are confirmed on their full sets.
 
 1. Documents with equal sets form one class; only classes go on (a group of exact copies is one row).
-2. In each band bucket every class is compared with the smallest one (a star, linear in the bucket), where sizes allow the
-   threshold. Confirmed links are joined into components.
-3. Only buckets whose classes still lie in different components are looked at again: the classes outside the component of the
-   smallest are paired with those of other components, unless sizes or the triangle inequality of Jaccard distance, through
-   the smallest class, rule the pair out. This loses no link between classes of one bucket.
+2. Each class is compared with the smallest one that it shares a bucket with, which joins most of a large group at once.
+3. Twice, the largest component of each bucket is asked by the classes of the bucket that are not in it: they are compared with
+   all its members. What they ask is settled, so those in the component leave the bucket. What remains is compared among itself.
+   No link between classes of one bucket is lost, and no pair becomes a row: members are held in blocks with an index of their
+   shingles, those who ask pass by, and only links that join something come out.
 
 Sets and classes are told apart by 64-bit shingle hashes and 128-bit set hashes.
 
@@ -29,12 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, small_batches
+from .common import checkpoint, settled, small_batches
 from .components import connected
 
 WORDS, PERMUTATIONS, ROWS = 5, 100, 5
 THRESHOLD = 75  # of 100
 BROADCAST_IDS = 1_000_000
+BLOCK, ROUNDS_OF_ASKING = 1024, 2
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -136,29 +137,70 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.join(wanted, "doc_id", "left_semi").mapInArrow(work, "set binary, shingles binary")
 
 
-def _measured(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """a, b, both (size of the intersection) of pairs of classes, from their full sets."""
-    nodes = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    sets = _sets(rows, classes.join(nodes, "set", "left_semi").select("doc_id").distinct())
-    joined = pairs.join(sets.select(F.col("set").alias("b"), F.col("shingles").alias("sb")), "b")
-    joined = joined.join(sets.select(F.col("set").alias("a"), F.col("shingles").alias("sa")), "a").select("a", "b", "sa", "sb")
+class _Members:
+    """The sets of one block of a group, indexed by shingle."""
+
+    def __init__(self, names: list[bytes], sets: list[np.ndarray], joined: bool):
+        self.names, self.sizes = names, np.array(list(map(len, sets)))
+        every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(every, kind="stable")
+        self.every, self.owner = every[order], owner[order]
+        self.root: dict[bytes, bytes] = {}
+        self.joined = joined
+
+    def _find(self, x: bytes) -> bytes:
+        while (up := self.root.get(x, x)) != x:
+            self.root[x] = x = self.root.get(up, up)
+        return x
+
+    def links(self, name: bytes, s: np.ndarray, threshold: int) -> Iterator[tuple[bytes, bytes]]:
+        """Confirmed links of a set to the members, without those that join what is joined already."""
+        low, high = np.searchsorted(self.every, s, "left"), np.searchsorted(self.every, s, "right")
+        n = high - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.bincount(self.owner[at], minlength=len(self.sizes))
+        for i in np.flatnonzero(100 * both >= threshold * (self.sizes + len(s) - both)):
+            other = self.names[i]
+            if other == name:
+                continue
+            if self.joined:
+                yield name, other
+                return
+            a, b = self._find(name), self._find(other)
+            if a != b:
+                self.root[a] = b
+                yield name, other
+
+
+def _compared(asks: DataFrame, members: DataFrame, sets: DataFrame, joined: bool, threshold: int) -> DataFrame:
+    """Links (a, b) between the sets that ask a group and the members of the group, (group, set) both; sets: set, shingles.
+
+    Members come in blocks of about ``BLOCK``; those who ask meet every block, so nothing holds a whole group and no pair is
+    a row. ``joined``: the members of a group are one component already, so one link for each ask is enough.
+    """
+    blocks = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    held = members.join(blocks, "group").select("group", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("asks"), "set")
+    asked = asks.join(blocks, "group").select("group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "set")
+    rows = held.unionByName(asked).join(sets, "set").select("group", "block", "asks", "set", "shingles")
+    rows = rows.repartition(F.col("group"), F.col("block")).sortWithinPartitions("group", "block", "asks", "set")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, names, held, index = None, [], [], None
         for batch in batches:
-            last, x, both = None, None, []
-            for a, sa, sb in zip(batch.column(0), batch.column(2), batch.column(3)):
-                if a != last:
-                    last, x = a, np.frombuffer(sa.as_buffer(), np.uint64)
-                y = np.frombuffer(sb.as_buffer(), np.uint64)
-                at = np.searchsorted(x, y)
-                both.append(int((x[np.minimum(at, len(x) - 1)] == y).sum()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64())], ["a", "b", "both"])
-
-    return checkpoint(joined.mapInArrow(work, "a binary, b binary, both long").distinct())
-
-
-def _linked(n_a: str = "n_a", n_b: str = "n_b", both: str = "both", least: int = THRESHOLD):
-    return F.expr(f"100 * {both} >= {least} * ({n_a} + {n_b} - {both})")
+            out: list[tuple[bytes, bytes]] = []
+            for group, block, ask, name, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4)):
+                if key != (group, block):
+                    key, names, held, index = (group, block), [], [], None
+                s = np.frombuffer(raw.as_buffer(), np.uint64)
+                if not ask:
+                    names.append(name)
+                    held.append(s.copy())
+                elif names:
+                    index = index or _Members(names, held, joined)
+                    out += index.links(name, s, threshold)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["a", "b"])
+
+    return rows.mapInArrow(work, "a binary, b binary")
 
 
 def components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -167,38 +209,42 @@ def components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     rows = docs.select("doc_id", docs["text"].cast("string").alias("text"))
     about = checkpoint(_described(rows))
     able = about.filter("set is not null and doc_id is not null")
-    classes = able.groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    classes = checkpoint(classes)
-    # class by band; buckets of one class are left out
-    by_band = classes.select(F.explode("bands").alias("band"), "set", "n")
-    centre = by_band.groupBy("band").agg(F.min(F.struct("set", "n")).alias("c"), F.count("*").alias("size")).filter("size > 1")
-    centre = centre.select("band", F.col("c.set").alias("a"), F.col("c.n").alias("n_a"))
-    bucket = checkpoint(by_band.join(centre, "band").filter("set <> a").select("band", "a", "n_a", F.col("set").alias("b"), F.col("n").alias("n_b")))
-    reach = F.expr(f"100 * least(n_a, n_b) >= {threshold} * greatest(n_a, n_b)")
-    star = bucket.filter(reach).select("a", "b", "n_a", "n_b").distinct()
-    star = star.join(_measured(star.select("a", "b"), rows, classes), ["a", "b"])
-    star = checkpoint(star)
-    links = star.filter(_linked(least=threshold)).select("a", "b")
-    root = checkpoint(connected(links))
-
-    # classes that are not in the component of their bucket's centre; at + sizes give the Jaccard distance to the centre, where it was measured
-    named = lambda c: root.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    placed = bucket.join(named("a"), "a", "left").join(named("b"), "b", "left")
-    placed = placed.select("band", "a", "b", "n_a", "n_b", F.coalesce("root_a", "a").alias("root_a"), F.coalesce("root_b", "b").alias("root_b"))
-    strays = checkpoint(placed.filter("root_a <> root_b"))
-    if not strays.isEmpty():
-        distance = star.select("a", "b", F.expr("1 - both / (n_a + n_b - both)").alias("d"))
-        mates = placed.join(strays.select("band").distinct(), "band", "left_semi").join(distance, ["a", "b"], "left")
-        strays = strays.join(distance, ["a", "b"], "left").select("band", F.col("b").alias("x"), F.col("n_b").alias("n_x"), F.col("root_b").alias("root_x"), F.col("d").alias("d_x"))
-        mates = mates.select("band", F.col("b").alias("y"), F.col("n_b").alias("n_y"), F.col("root_b").alias("root_y"), F.col("d").alias("d_y"), (F.col("root_a") != F.col("root_b")).alias("stray"))
-        again = strays.join(mates, "band").filter("root_x <> root_y and (not stray or x < y)")
-        again = again.filter(f"100 * least(n_x, n_y) >= {threshold} * greatest(n_x, n_y)")
-        again = again.filter(f"d_x is null or d_y is null or abs(d_x - d_y) <= 1 - {threshold} / 100 + 1e-9")
-        again = checkpoint(again.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.expr("if(x < y, n_x, n_y)").alias("n_a"), F.expr("if(x < y, n_y, n_x)").alias("n_b")).distinct())
-        if not again.isEmpty():
-            more = again.join(_measured(again.select("a", "b"), rows, classes), ["a", "b"]).filter(_linked(least=threshold)).select("a", "b")
-            old = root.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            root = checkpoint(connected(old.unionByName(more)))
+    classes = checkpoint(able.groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
+    # classes in band buckets; buckets of one class are left out
+    by_band = classes.select(F.explode("bands").alias("band"), "set")
+    shared = by_band.groupBy("band").agg(F.min("set").alias("least"), F.count("*").alias("size")).filter("size > 1").drop("size")
+    bucket = settled(by_band.join(shared, "band"))
+    nodes = settled(bucket.groupBy("set").agg(F.min("least").alias("least")))
+    sets = settled(_sets(rows, classes.join(nodes, "set", "left_semi").select("doc_id").distinct()).dropDuplicates(["set"]), 10_000)
+
+    # each class with the smallest one that it shares a bucket with
+    star = nodes.filter("set <> least").select(F.col("least").alias("group"), "set")
+    root = settled(connected(_compared(star, star.select("group", F.col("group").alias("set")).distinct(), sets, True, threshold)))
+
+    left = bucket.select("band", "set")
+    for _ in range(ROUNDS_OF_ASKING):
+        # the largest component of each bucket is asked by the classes of the bucket that are not in it
+        placed = left.join(root.select(F.col("node").alias("set"), "root"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+        sizes = root.groupBy("root").agg(F.count("*").alias("size"))
+        placed = settled(placed.join(sizes, "root", "left").withColumn("size", F.coalesce("size", F.lit(1))))
+        largest = placed.groupBy("band").agg(F.max(F.struct("size", "root")).alias("top")).select("band", F.col("top.root").alias("group"))
+        left = settled(placed.join(largest, "band").filter("root <> group").select("band", "set", "group"))
+        if left.isEmpty():
+            break
+        asks = left.select("group", "set").distinct()
+        groups = asks.select("group").distinct()
+        members = groups.join(root.select(F.col("root").alias("group"), F.col("node").alias("set")), "group", "left").withColumn("set", F.coalesce("set", "group"))
+        links = _compared(asks, members, sets, True, threshold)
+        left = left.select("band", "set")
+        root = settled(connected(root.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)))
+    else:
+        # classes that no round took out of their bucket: compared among themselves, bucket by bucket
+        placed = left.join(root.select(F.col("node").alias("set"), "root"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+        mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
+        rest = settled(placed.join(mixed, "band", "left_semi").select(F.col("band").alias("group"), "set"))
+        if not rest.isEmpty():
+            links = _compared(rest, rest, sets, False, threshold)
+            root = settled(connected(root.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)))
 
     least = root.join(classes.select(F.col("set").alias("node"), "doc_id"), "node").groupBy("root").agg(F.min("doc_id").alias("least"))
     least = root.join(least, "root").select(F.col("node").alias("set"), "least")

@@ -65,6 +65,19 @@ def test_edges_and_chains(spark):
     assert len([i for i in ids if i is not None]) == len(set(ids) - {None}) and ids.count(None) == 2
 
 
+def test_hot_group_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(op, "BLOCK", 7)
+    rng = random.Random(11)
+    base = ["w" + str(rng.randrange(10**6)) for _ in range(90)]
+    rows = []
+    for i in range(260):
+        edited = list(base)
+        for _ in range(rng.choice([0, 1, 2, 2, 3, 3, 4, 5])):
+            edited[rng.randrange(90)] = "x" + str(rng.randrange(10**6))
+        rows.append((1000 - i, " ".join(edited)))
+    check(spark, rows)
+
+
 def test_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     check(spark, [(r.doc_id, r.text) for r in docs.collect()])
