@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import checkpoint, small_batches
 
 WIDTH, CENTROIDS, TRAIN_PER_LANG, STEPS = 8192, 4, 500, 12
-MARGIN = 0.6
+MARGIN = 0.3
 UNDETERMINED = "und"
 
 _LETTER = re.compile("[A-Za-z]")
