@@ -1,6 +1,6 @@
 """Secret scans with a random forest that removes false positives.
 
-A candidate is a run of at least 16 characters of ``A-Z a-z 0-9 _ + / -`` with a digit in it (and up to two ``=`` behind).
+A candidate is a run of at least 16 characters of ``A-Z a-z 0-9 _ + / -`` with a digit in it or the form of an access key id (and up to two ``=`` behind).
 Its features are its length, shares and transitions of character classes, how much of it common words
 cover, whether it looks like a path, and its neighbouring words: an assignment, quotes, a word that names a secret, a word
 that names something else (a checksum, a commit, an example). A random forest trained from labelled findings gives the
@@ -24,7 +24,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+={0,2}"
+CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9]|A[KS]IA[A-Z]{16})[A-Za-z0-9_+/-]{16,}+={0,2}"
 SAMPLE_IDS, TREES, DEPTH, SEED = 1500, 20, 6, 7
 SECRET_AT = 0.5
 MASK = "[SECRET]"
@@ -51,10 +51,11 @@ FEATURES = {
     "covered": "1 - length(regexp_replace(lower(c), '" + "|".join(sorted(DICTIONARY, key=len, reverse=True)) + "', '')) / length(c)",
     "path": r"regexp_count(c, '/') + if(before rlike '[/.\\x5C~]$', 2, 0) + if(after rlike '^[/.][A-Za-z]', 2, 0)",
     "uuid": "if(c rlike '^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$', 1, 0)",
+    "prefix": "if(c rlike '^(A[KS]IA[A-Z0-9]{16}$|gh[pousr]_|sk-|xox[abp]-|AIza|eyJ)', 1, 0)",
     "assigned": f"if(before rlike '[:=]>?[ ]{{0,3}}[{_QUOTE}]?$', 1, 0)",
     "quoted": f"if(before rlike '[{_QUOTE}`]$' and after rlike '^[{_QUOTE}`]', 1, 0)",
     "named": f"if(before rlike '(?i)({_NAMES})[^ ]{{0,12}}[ ]{{0,3}}([:=]>?|is)?[ ]{{0,3}}[{_QUOTE}]?$', 1, 0)",
-    "other": f"if(before rlike '(?i)({_OTHERS})', 1, 0)",
+    "other": rf"if(before rlike '(?i)\\b({_OTHERS})[0-9]{{0,3}}[^A-Za-z0-9]{{0,4}}([A-Za-z]{{1,12}}[^A-Za-z0-9]{{1,3}})?$', 1, 0)",
     "end_word": "if(before rlike '[A-Za-zÀ-ÿ.,] $' and after rlike '^[ .,]', 1, 0)",
 }
 
@@ -97,9 +98,11 @@ def labelled_findings(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     closed = "array('\"', '\"', ' ', '\"', '\\'', ' ', '\"')[r % 7]"
     word = "array('rate', 'value of', 'the', 'and', 'for', 'und', 'les')[r % 7]"
     kinds = [
-        (1, f"concat('lorem ', {names}, {said})", "substring(h, 1, array(20, 32, 40, 64)[r % 4])", closed),
+        (1, f"concat('lorem ', {names}, {said})", "substring(h, 1, array(16, 18, 20, 24, 32, 40, 64)[r % 7])", closed),
         (1, f"concat('set ', {names}, {said})", "substring(b, 1, 20 + r % 40)", closed),
         (1, "' '", "concat('AKIA', upper(substring(conv(substring(h, 1, 15), 16, 36), 1, 8)), upper(substring(conv(substring(h, 16, 15), 16, 36), 1, 8)))", "' '"),
+        (1, f"concat({word}, ' ')", "concat('AKIA', translate(upper(substring(h, 1, 16)), '0123456789', 'GHIJKLMNOP'))", "' and'"),
+        (1, f"concat('x. ', {word}, ' ')", "concat('AKIA', translate(upper(substring(h, 1, 16)), '01', 'QR'))", "'.'"),
         (1, "concat('Authorization: Bearer ')", "concat('ghp_', substring(b, 1, 36))", "' '"),
         (1, f"concat('x ', {names}, ' is ')", "substring(b, 1, 24 + r % 16)", "' now'"),
         (0, "concat('see commit ')", "substring(h, 1, 40)", "' in'"),
@@ -118,7 +121,7 @@ def labelled_findings(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         (0, f"concat({word}, ' ')", "concat('tionereshinganden', r % 10, 'thering')", "' a'"),
     ]
     rows = [f"named_struct('label', {y}, 'before', {before}, 'c', {c}, 'after', {after})" for y, before, c, after in kinds]
-    return h.selectExpr(f"inline(array({', '.join(rows)}))").select("c", "before", "after", "label").filter(F.col("c").rlike("[0-9]"))
+    return h.selectExpr(f"inline(array({', '.join(rows)}))").select("c", "before", "after", "label").filter(F.col("c").rlike(CANDIDATE))
 
 
 def train(findings: DataFrame):
