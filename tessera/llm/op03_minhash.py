@@ -262,3 +262,19 @@ def deduplicate(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     left = docs.join(gone, docs["doc_id"] == F.col("gone__id"), "left_anti")
     first = Window.partitionBy("doc_id").orderBy("text")
     return left.withColumn("first__", F.row_number().over(first)).filter("first__ = 1 or doc_id is null").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+ORACLE = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {WORDS - 1}, 1) + 1)) AS i FROM w WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + {WORDS - 1}], ' ') AS s FROM places),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_n FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both_n >= {THRESHOLD} * (x.n + y.n - both_n)),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+component AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY 1)
+SELECT d.doc_id AS doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN component c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
