@@ -322,3 +322,22 @@ def remove_repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     cover = checkpoint(cover.groupBy("row").agg(F.collect_list(F.struct("p", "n")).alias("cover")))
     joined = table.join(cover.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "cover")
     return _finish(joined, dict(docs.dtypes)["doc_id"])
+
+
+#: Every string of the texts, in hexadecimal, by its digest.
+ORACLE = f"""
+WITH h AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT r, h, unnest(range(0, greatest(len(h) // 2 - {LENGTH - 1}, 0))) AS i FROM h),
+m AS (SELECT r, i, md5_number(substr(h, CAST(2 * i + 1 AS BIGINT), {2 * LENGTH})) AS m FROM p),
+again AS (SELECT m FROM m GROUP BY m HAVING count(*) > 1),
+rep AS (SELECT r, i FROM m SEMI JOIN again USING (m)),
+cuts AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + {LENGTH} THEN 0 ELSE 1 END AS cut FROM rep),
+isles AS (SELECT r, i, sum(cut) OVER (PARTITION BY r ORDER BY i) AS g FROM cuts),
+spans AS (SELECT r, min(i) AS s, max(i) + {LENGTH} AS e FROM isles GROUP BY r, g),
+gaps AS (SELECT h.r, coalesce(lag(e) OVER (PARTITION BY h.r ORDER BY s), 0) AS a, s AS b FROM h JOIN spans ON spans.r = h.r
+  UNION ALL SELECT h.r, coalesce(max(e), 0), len(any_value(h)) // 2 FROM h LEFT JOIN spans ON spans.r = h.r GROUP BY h.r),
+kept AS (SELECT r, string_agg(substr(h, CAST(2 * a + 1 AS BIGINT), CAST(2 * (b - a) AS BIGINT)), '' ORDER BY a) AS k FROM gaps JOIN h USING (r) GROUP BY r),
+sums AS (SELECT r, count(*) AS n, sum(e - s) AS gone FROM spans GROUP BY r)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM h JOIN kept USING (r) LEFT JOIN sums USING (r)
+"""

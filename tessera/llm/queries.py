@@ -66,4 +66,4 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_secrets_scan": op10_secrets_scan,
 }
-ORACLES: dict[str, str] = {"op3_minhash": op03_minhash.ORACLE, "op5_topk": op05_topk.ORACLE, "op7_mixing": op07_mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_substrings": op02_substrings.ORACLE, "op3_minhash": op03_minhash.ORACLE, "op5_topk": op05_topk.ORACLE, "op7_mixing": op07_mixing.ORACLE}
