@@ -47,6 +47,13 @@ def click_counts(spark: SparkSession, lines: DataFrame, path: str, checkpoint: s
     return start(lines, each, checkpoint, every)
 
 
+def daily_clicks(lines: DataFrame, late: str = "1 day") -> DataFrame:
+    """day, course_id, clicks by event time: a day is given out once, when the watermark has passed its end; later lines of it are dropped."""
+    timed = clicks.clean(lines).withWatermark("time", late)
+    counts = timed.groupBy(F.window("time", "1 day"), "course_id").agg(F.count("*").alias("clicks"))
+    return counts.select(F.to_date("window.start").alias("day"), "course_id", "clicks")
+
+
 def word_counts(spark: SparkSession, lines: DataFrame, path: str, checkpoint: str, every: str | None = None) -> tuple[StreamingQuery, Increments]:
     """Word counts of each batch on its own (``batches``), which also add up (``totals``)."""
     table = Increments(spark, path, {"word": "string"}, {"n": "bigint"})

@@ -1,5 +1,6 @@
 """Streams against batches, replayed batches, fresh checkpoints, and compaction."""
 
+import os
 import shutil
 
 from tessera.operators import clicks, orders, relational
@@ -15,7 +16,9 @@ def feed(folder, *batches):
     folder.mkdir(parents=True, exist_ok=True)
     n = len(list(folder.iterdir()))
     for k, lines in enumerate(batches):
-        (folder / f"{n + k:03}.txt").write_text("\n".join(lines) + "\n")
+        path = folder / f"{n + k:03}.txt"
+        path.write_text("\n".join(lines) + "\n")
+        os.utime(path, (1_700_000_000 + n + k,) * 2)  # files are read in this order
 
 
 def finish(query):
@@ -117,3 +120,14 @@ def test_rerank_stream(spark, tmp_path):
     finish(jobs.rerank_stream(spark, jobs.line_stream(spark, str(tmp_path / "in")), str(tmp_path / "ratings"), str(tmp_path / "similar"), str(tmp_path / "out"), str(tmp_path / "cp")))
     got = {r.item: r.score for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert set(got) == {3, 4, 5}
+
+
+def test_daily_clicks_by_event_time(spark, tmp_path):
+    line = lambda d, c: f"10.0.0.1\t2018-09-{d} 01:02:03\tGET /class/{c}.html http/1.1\t200\t-"
+    feed(tmp_path / "in", [line(10, 1), line(10, 1), line(11, 1)], [line(10, 1), line(13, 2)], [line(20, 3)], [line(10, 1), line(25, 9)])
+    stream = jobs.daily_clicks(jobs.line_stream(spark, str(tmp_path / "in"), files_per_batch=1))
+    query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    finish(query)
+    got = [(str(r.day), r.course_id, r.clicks) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(got)[:3] == [("2018-09-10", 1, 3), ("2018-09-11", 1, 1), ("2018-09-13", 2, 1)]
+    assert sum(n for d, _, n in got if d == "2018-09-10") == 3
