@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _JVM_SPACE = "".join(map(chr, range(33)))
@@ -18,6 +18,11 @@ def bound(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+def worked_out(rows: DataFrame, **columns: Column) -> DataFrame:
+    """rows with further columns that are worked out once for each row: later filters are not pushed below them, which would repeat the work."""
+    return rows.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
 def split_kept(text: Column, sep: str) -> Column:
     """Parts between one-character separators; trailing empty parts are dropped, the empty text is one empty part."""
     return _split(text, sep, rf"\Q{sep}\E")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import before_last, part, referer_host, split_kept, strict, strict_time, trimmed
+from ..functions.text import before_last, part, referer_host, split_kept, strict, strict_time, trimmed, worked_out
 
 
 def parse(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -14,14 +14,13 @@ def parse(lines: DataFrame, value: str = "value") -> DataFrame:
     A line has at least five tab-separated fields. The second word of the request is the address; if it starts with
     ``/class``, its third segment up to the last dot is the course, else the course is 0.
     """
-    f = lines.withColumn("f__", split_kept(F.col(value), "\t"))
-    f = f.withColumn("url__", part(split_kept(trimmed(part(F.col("f__"), 2)), " "), 1))
+    f = worked_out(lines, f__=split_kept(F.col(value), "\t"))
+    f = worked_out(
+        f, ip=part(F.col("f__"), 0), time=strict_time(part(F.col("f__"), 1)), url__=part(split_kept(trimmed(part(F.col("f__"), 2)), " "), 1),
+        status=strict(part(F.col("f__"), 3), "int"), referer=part(F.col("f__"), 4),
+    )
     course = strict(before_last(part(split_kept(F.col("url__"), "/"), 2), "."), "int")
-    f = f.withColumns({
-        "ip": part(F.col("f__"), 0), "time": strict_time(part(F.col("f__"), 1)),
-        "course_id": F.when(F.startswith("url__", F.lit("/class")), course).otherwise(F.lit(0)),
-        "status": strict(part(F.col("f__"), 3), "int"), "referer": part(F.col("f__"), 4),
-    })
+    f = worked_out(f, course_id=F.when(F.startswith("url__", F.lit("/class")), course).otherwise(F.lit(0)))
     reason = (
         F.when(F.size("f__") < 5, "fields").when(F.col("url__").isNull(), "request").when(F.col("course_id").isNull(), "course")
         .when(F.col("time").isNull(), "time").when(F.col("status").isNull(), "status")
@@ -47,6 +46,6 @@ def per_day(clicks: DataFrame) -> DataFrame:
 
 def per_day_and_host(clicks: DataFrame) -> DataFrame:
     """day_host_course, clicks; only referers with a host and a path count."""
-    rows = clicks.withColumn("host__", referer_host(F.col("referer"))).filter("host__ <> ''")
+    rows = worked_out(clicks, host__=referer_host(F.col("referer"))).filter("host__ <> ''")
     key = F.concat_ws("_", F.date_format("time", "yyyyMMdd"), "host__", F.col("course_id").cast("string"))
     return rows.groupBy(key.alias("day_host_course")).agg(F.count("*").alias("clicks"))

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import at_first, split_kept, strict, trimmed
+from ..functions.text import at_first, split_kept, strict, trimmed, worked_out
 
 SPLITS = ((0, 5, "train"), (6, 7, "validation"), (8, 9, "test"))
 
 
 def parse_ratings(lines: DataFrame, sep: str = ",", value: str = "value") -> DataFrame:
     """user, item, rating, digit (last digit of the time), split, and reason for lines that cannot be read or have user 0."""
-    p = lines.withColumn("p__", split_kept(F.col(value), sep))
+    p = worked_out(lines, p__=split_kept(F.col(value), sep))
     time = strict(F.get("p__", 3), "bigint")
-    p = p.withColumns({"user": strict(F.get("p__", 0), "int"), "item": strict(F.get("p__", 1), "int"), "rating": strict(F.get("p__", 2), "double"), "digit": F.pmod(time, F.lit(10))})
+    p = worked_out(p, user=strict(F.get("p__", 0), "int"), item=strict(F.get("p__", 1), "int"), rating=strict(F.get("p__", 2), "double"), digit=F.pmod(time, F.lit(10)))
     split = F.when(F.lit(False), "")
     for low, high, name in SPLITS:
         split = split.when(F.col("digit").between(low, high), name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import split_kept, split_spaces, strict
+from ..functions.text import split_kept, split_spaces, strict, worked_out
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -14,9 +14,9 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _typed(rows: DataFrame, parts, fields: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
-    parsed = rows.select(F.col("value").alias("line__"), parts.alias("parts__"))
+    parsed = worked_out(rows.select(F.col("value").alias("line__")), parts__=parts(F.col("line__")))
     cols = {n: F.get("parts__", i) if k == "string" else strict(F.get("parts__", i), k) for i, (n, k) in enumerate(fields)}
-    parsed = parsed.withColumns(cols)
+    parsed = worked_out(parsed, **cols)
     good = F.lit(True)
     for n, _ in fields:
         good = good & F.col(n).isNotNull()
@@ -25,12 +25,12 @@ def _typed(rows: DataFrame, parts, fields: list[tuple[str, str]]) -> tuple[DataF
 
 def delimited(rows: DataFrame, sep: str | None, fields: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
     """(good, rejects) of lines in ``value``: positional fields of the kinds string, int, bigint, double; sep None is white space."""
-    return _typed(rows, split_spaces(F.col("value")) if sep is None else split_kept(F.col("value"), sep), fields)
+    return _typed(rows, lambda line: split_spaces(line) if sep is None else split_kept(line, sep), fields)
 
 
 def tuples(rows: DataFrame, fields: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
     """(good, rejects) of lines written as tuples: ``(1,2,3.0,4)``."""
-    return _typed(rows, F.when(F.col("value").rlike(r"\A\(.*\)\z"), split_kept(F.expr("substring(value, 2, length(value) - 2)"), ",")).otherwise(F.array()), fields)
+    return _typed(rows, lambda line: F.when(line.rlike(r"\A\(.*\)\z"), split_kept(F.substring(line, F.lit(2), F.length(line) - 2), ",")).otherwise(F.array()), fields)
 
 
 def json_rows(rows: DataFrame, schema: str, required: list[str]) -> tuple[DataFrame, DataFrame]:
