@@ -126,10 +126,10 @@ def runs(pieces: list[tuple[int, int, bytes]], length: int, gram: int) -> dict[s
     p = first - base[owner[first]] + np.array([o for _, o, _ in pieces], np.int64)[owner[first]]
     many = np.flatnonzero(count[group] > 1)
     cover = {"row": [], "p": [], "n": []}
-    for r in np.unique(row[many]):
-        own = many[row[many] == r] if len(many) < 2000 else many[np.searchsorted(row[many], r) : np.searchsorted(row[many], r, "right")]
+    many = many[np.argsort(row[many], kind="stable")]  # the rows of a batch come in any order
+    for own in np.split(many, np.flatnonzero(np.diff(row[many])) + 1) if len(many) else ():
         s, e = merged(p[own], p[own] + n[own] + length - 1)
-        cover["row"].append(np.full(len(s), r))
+        cover["row"].append(np.full(len(s), row[own[0]]))
         cover["p"].append(s)
         cover["n"].append(e - s)
     zero = [np.zeros(0, np.int64)]

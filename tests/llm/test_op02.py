@@ -90,6 +90,20 @@ def test_pieces_do_not_change_the_result(spark):
     check(spark, rows)
 
 
+def test_many_repeated_runs_with_rows_out_of_order():
+    rng = np.random.default_rng(4)
+    copy = rng.integers(0, 256, 200_000, np.uint8).tobytes()
+    own = [rng.integers(0, 256, n, np.uint8).tobytes() for n in (900, 5000)]
+    pieces = [(7, 0, own[0] + copy), (3, 0, copy + own[1]), (5, 0, own[1])]
+    got = op.runs(pieces, 400, 160)
+    assert (got["c"] * (got["c"] > 1)).sum() > 2000
+    # runs at a seam are not equal; all else of a copy is covered in its own row, and nothing outside it
+    inside = {r: [(int(p), int(p + n)) for q, p, n, c in zip(*(got[f] for f in ("row", "p", "n", "c"))) if c == 0 and q == r] for r in (3, 5, 7)}
+    (a, b), (c, d), (e, f), (g, h) = *inside[7], *inside[3], *inside[5]
+    for start, end, low, high in ((a, b, 900, 200_900), (c, d, 0, 200_000), (e, f, 200_000, 205_000), (g, h, 0, 5000)):
+        assert low <= start < low + 1000 and high - 1000 < end <= high
+
+
 def test_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     check(spark, [(r.doc_id, r.text) for r in docs.collect()])
