@@ -2,13 +2,15 @@
 
 Base spans come from four patterns (email, ip, card, phone) with their checks. The field then labels
 the tokens that hold a digit, ``@`` or ``+``: token shapes give unary potentials, neighbouring tokens
-share linear-chain potentials, and successive occurrences of the same or a similar token (same digits, or
-same mail name) anywhere in the document share skip potentials. Loopy sum-product message passing runs over
-all documents of a batch at once; tokens of base spans are clamped to their kind, so that a mention
-found in one place makes its repetitions agree. Tokens whose marginal for a kind reaches ``threshold`` are added.
+share linear-chain potentials, and the occurrences of the same or a similar token (same digits, or
+same mail name) anywhere in the document share skip potentials with their hub: the last one before them that is a base span, else
+the first base span, or the first occurrence where none is. Loopy sum-product message passing runs over
+all documents of a batch at once until the messages settle; tokens of base spans are clamped to their kind, so that a mention
+found in one place makes its repetitions agree, however many there are. Tokens whose marginal for a kind reaches ``threshold`` are added.
 
 The weights are learned by pseudo-likelihood on the tokens of a bounded sample of documents
-(``SAMPLE_DOCS`` by hash of the id, ``SAMPLE_TOKENS`` tokens at most), with base spans as labels.
+(``SAMPLE_DOCS`` by hash of the id, ``SAMPLE_TOKENS`` tokens at most), with base spans as labels; the skip potentials are
+learned on pairs of successive occurrences.
 
 Defined results: null text counts as empty and gives no span and the digest of the empty string; a
 text of any length is read whole, in time linear in its length; repeated rows give repeated rows; an
@@ -30,7 +32,9 @@ from .common import small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS, SAMPLE_TOKENS = 4000, 20_000
-THRESHOLD, ROUNDS, DAMPING, CLAMP = 0.5, 10, 0.5, 30.0
+THRESHOLD, DAMPING, CLAMP = 0.5, 0.5, 30.0
+#: A message rests while its changes are below SETTLED; after each ROUNDS changes its steps are halved, so that one that swings settles too.
+SETTLED, ROUNDS = 1e-6, 100
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -126,7 +130,7 @@ _LONG_NUMBER = re.compile(r"[0-9().-]{7,}")
 
 
 class Graph:
-    """Tokens of many documents: features, given labels (-1: none), and edges of both kinds."""
+    """Tokens of many documents: features, given labels (-1: none), edges of both kinds, and pairs of successive occurrences."""
 
     def __init__(self):
         self.rows: list[int] = []
@@ -135,10 +139,12 @@ class Graph:
         self.where: list[tuple[int, int, int]] = []
         self.chain: list[tuple[int, int]] = []
         self.skip: list[tuple[int, int]] = []
+        self.successive: list[tuple[int, int]] = []
 
     def add(self, doc: int, text: str, base: list[tuple[int, int, int]]) -> None:
         found = tokens(text)
-        last: dict[str, int] = {}
+        mentions: dict[str, list[int]] = {}
+        chained: set[int] = set()
         b = 0
         for t, (start, end) in enumerate(found):
             i = len(self.given)
@@ -152,10 +158,17 @@ class Graph:
             self.cols += on
             if t and found[t - 1][1] + 1 >= start:
                 self.chain.append((i - 1, i))
+                chained.add(i)
             if key := similar_key(text[start:end]):
-                if key in last and last[key] != i - 1:
-                    self.skip.append((last[key], i))
-                last[key] = i
+                mentions.setdefault(key, []).append(i)
+        for own in mentions.values():
+            self.successive += [(a, i) for a, i in zip(own, own[1:]) if a < i - 1 or i not in chained]
+            hub = next((i for i in own if self.given[i] >= 0), own[0])
+            for i in own:
+                if self.given[i] >= 0:
+                    hub = i
+                elif i != hub and (self.given[hub] >= 0 or hub < i - 1 or i not in chained):
+                    self.skip.append((hub, i))
 
 
 def _edges(pairs: list[tuple[int, int]]) -> np.ndarray:
@@ -168,7 +181,7 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def marginals(graph: Graph, unary: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> np.ndarray:
-    """Node marginals by loopy belief propagation with damped, simultaneous updates."""
+    """Node marginals by loopy belief propagation with damped, simultaneous updates of the messages that have not settled."""
     n, k = len(graph.given), unary.shape[0]
     theta = np.zeros((n, k))
     np.add.at(theta, np.array(graph.rows, np.int64), unary.T[np.array(graph.cols, np.int64)])
@@ -178,15 +191,28 @@ def marginals(graph: Graph, unary: np.ndarray, chain: np.ndarray, skip: np.ndarr
     c, s = _edges(graph.chain), _edges(graph.skip)
     src = np.concatenate([c[:, 0], c[:, 1], s[:, 0], s[:, 1]])
     dst = np.concatenate([c[:, 1], c[:, 0], s[:, 1], s[:, 0]])
-    pot = np.concatenate([np.repeat(m[None], len(e), 0) for m, e in ((chain, c), (chain.T, c), (skip, s), (skip.T, s))])
+    pots = np.stack([chain, chain.T, skip, skip.T])
+    pot = np.repeat(np.arange(4), [len(c), len(c), len(s), len(s)])
     back = np.concatenate([np.arange(len(c)) + len(c), np.arange(len(c)), 2 * len(c) + np.arange(len(s)) + len(s), 2 * len(c) + np.arange(len(s))])
-    message = np.zeros((len(src), k))
-    belief = theta
-    for _ in range(ROUNDS if len(src) else 0):
-        out = _log_sum((belief[src] - message[back])[:, :, None] + pot, 1)
-        message = DAMPING * message + (1 - DAMPING) * (out - _log_sum(out, 1)[:, None])
-        belief = theta.copy()
-        np.add.at(belief, dst, message)
+    by = np.argsort(src, kind="stable")  # the edges out of a node, from start[node]
+    start = np.searchsorted(src[by], np.arange(n + 1))
+    message, times = np.zeros((len(src), k)), np.zeros(len(src), np.int64)
+    # tokens of base spans take no messages, which in great numbers would outweigh the clamp
+    free = given[dst] < 0
+    belief, live = theta.copy(), np.flatnonzero(free)
+    while len(live):
+        out = _log_sum((belief[src[live]] - message[back[live]])[:, :, None] + pots[pot[live]], 1)
+        step = (1 - DAMPING) * 0.5 ** (times[live] // ROUNDS)
+        change = step[:, None] * (out - _log_sum(out, 1)[:, None] - message[live])
+        message[live] += change
+        times[live] += 1
+        np.add.at(belief, dst[live], change)
+        moved = live[np.abs(change).max(1) > SETTLED]
+        # next: what moves itself, and what leaves the nodes that moved messages reach
+        to = np.unique(dst[moved])
+        many = start[to + 1] - start[to]
+        reached = by[np.repeat(start[to] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        live = np.union1d(moved, reached[free[reached]])
     return np.exp(belief - _log_sum(belief, 1)[:, None]) if n else belief
 
 
@@ -206,7 +232,7 @@ def _sample(docs: DataFrame) -> list[tuple]:
             on, near = [[] for _ in label], np.zeros((len(label), 2, 5), np.int64)
             for i, f in zip(g.rows, g.cols):
                 on[i].append(f)
-            for kind, edges in enumerate((g.chain, g.skip)):
+            for kind, edges in enumerate((g.chain, g.successive)):
                 for a, b in edges:
                     near[a, kind, label[b]] += 1
                     near[b, kind, label[a]] += 1

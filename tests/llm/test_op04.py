@@ -80,3 +80,30 @@ def test_a_repeated_mention_takes_the_label(spark):
     rows.append((1000, f"{pad()} joan.k77@mail1.example.com {pad()} joan.k77@mail1 {pad()}"))
     got = {r.doc_id: r for r in op.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1000].n_email == 1 and got[1000].spans.count("email:") == 2
+
+
+def test_evidence_reaches_every_mention():
+    g = op.Graph()
+    g.given, g.rows, g.cols, g.chain = [4] + [-1] * 40, list(range(41)), [0] * 41, [(i, i + 1) for i in range(40)]
+    p = op.marginals(g, np.zeros((5, 1)), 10 * np.eye(5), np.zeros((5, 5)))
+    assert np.allclose(p[11, 4], 0.998, atol=1e-3) and p[40, 4] > 0.98
+    text = "call +491701234567 or x12 or " + "01701234567 or 2024 or " * 3000
+    g = op.Graph()
+    g.add(0, text, op.base_spans(text))
+    unary = np.zeros((5, op.N_SHAPES))
+    unary[0, 0] = 1  # every token alone is rather nothing
+    p = op.marginals(g, unary, np.zeros((5, 5)), 6 * np.eye(5))
+    mentions = [i for i, (_, a, b) in enumerate(g.where) if text[a:b] == "01701234567"]
+    assert len(mentions) == 3000 and p[mentions, 4].min() > 0.9
+    assert p[[i for i, (_, a, b) in enumerate(g.where) if text[a:b] == "2024"], 0].min() > 0.4
+
+
+def test_long_graphs_settle():
+    rng = np.random.default_rng(6)
+    g = op.Graph()
+    for d in range(3):
+        text = " ".join(rng.choice(["123456789", "987654321", "2024", "x17y22", "+491701234567"], 5000))
+        g.add(d, text, op.base_spans(text)[:1])
+    u, c, s = rng.normal(size=(5, op.N_SHAPES)), rng.normal(size=(5, 5)) * 2, rng.normal(size=(5, 5)) * 2
+    p = op.marginals(g, u, (c + c.T) / 2, (s + s.T) / 2)
+    assert p.shape == (len(g.given), 5) and np.isfinite(p).all() and np.allclose(p.sum(1), 1)
