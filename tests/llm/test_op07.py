@@ -49,3 +49,20 @@ def test_edges(spark):
     weights = spark.createDataFrame([("a", 3), ("c", 9), ("d", 0)], "source string, weight long")
     left = op.mix(docs, weights).collect()
     assert len(left) == 6 and sum(r.mix_position is None for r in left) == 3
+
+
+def test_many_small_sources_keep_their_weights(spark):
+    n = 2100
+    weights = spark.createDataFrame([("big", n)] + [(f"s{i:04}", 1) for i in range(n)], "source string, weight long")
+    rows = [(i, "big") for i in range(16 * n // 10)] + [(i, f"s{i % n:04}") for i in range(2 * n)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    got = op.mix(docs, weights, block=1).collect()
+    assert len(got) == len(rows) and len({r.mix_position for r in got}) == len(rows)
+    assert all(r.mix_release <= r.mix_slot < r.mix_deadline for r in got)
+    big = sorted(r.mix_slot for r in got if r.source == "big")
+    assert all(abs(k + 1 - Fraction(t + 1, 2)) < 2 for k, t in enumerate(big))  # half of the slots, not a third
+    small = {}
+    for r in got:
+        if r.source != "big":
+            small.setdefault(r.source, []).append(r.mix_slot)
+    assert all(0 <= a < 2 * n <= b < 4 * n for a, b in map(sorted, small.values()))
