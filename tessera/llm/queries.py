@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op01_sentencepiece, op02_substrings, op03_minhash, op04_pii, op05_topk, op06_spotsigs, op07_mixing, op08_language, op09_quality, op10_secrets
+from . import op01_sentencepiece, op02_substrings, op03_minhash, op04_pii, op05_topk, op06_spotsigs, op07_mixing, op08_language, op09_quality, op10_secrets, op11_collocations, op12_whitening, op13_packing
 from .common import documents
 
 
@@ -54,6 +54,21 @@ def op10_secrets_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_secrets.report(docs, op10_secrets.train(op10_secrets.labelled_findings(docs)))
 
 
+def op11_collocations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_collocations.collocations(documents(spark, sf_dir))
+
+
+def op12_whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return op13_packing.pack(op13_packing.encode_pieces(documents(spark, sf_dir), *files))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_substrings": op2_substrings,
@@ -65,5 +80,8 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
     "op10_secrets_scan": op10_secrets_scan,
+    "op11_collocations": op11_collocations_query,
+    "op12_whitening": op12_whitening_query,
+    "op13_packing": op13_packing_query,
 }
-ORACLES: dict[str, str] = {"op2_substrings": op02_substrings.ORACLE, "op3_minhash": op03_minhash.ORACLE, "op5_topk": op05_topk.ORACLE, "op7_mixing": op07_mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_substrings": op02_substrings.ORACLE, "op3_minhash": op03_minhash.ORACLE, "op5_topk": op05_topk.ORACLE, "op7_mixing": op07_mixing.ORACLE, "op11_collocations": op11_collocations.ORACLE}
