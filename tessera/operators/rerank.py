@@ -20,14 +20,14 @@ def rerank(
     events: DataFrame, ratings: DataFrame, similar: DataFrame, k: int = LATEST, default: float = DEFAULT_SIMILARITY,
     least: float = LEAST_SIMILARITY, include_self: bool = True, normalize: str = "event",
 ) -> DataFrame:
-    """event_id, user, item, score of the candidates of each event (event_id, user, item).
+    """event_id, user, item, score of the candidates of each event (event_id, user, item); rows with one event_id are one event.
 
     Candidates are the items similar to the event's item (item1, item2, similarity), the item itself included, repeated entries kept. Each is
     compared with the user's latest ratings; pairs above ``least`` count (unknown pairs take the default, of several entries the largest). The score
     is the sum of similarity times rating, divided by the number of pairs of the event (or, ``normalize="candidate"``, of the
     candidate), plus log2 of the number of good ratings, minus log2 of the number of others.
     """
-    asked = events.select("event_id", "user", F.col("item").alias("from"))
+    asked = events.select("event_id", "user", F.col("item").alias("from")).distinct()
     recent = latest_ratings(ratings.join(asked.select("user").distinct(), "user", "left_semi"), k)
     recent = asked.join(recent, "user").select("event_id", "user", F.col("item").alias("recent"), "rating")
     near = similar.join(asked.select(F.col("from").alias("item1")).distinct(), "item1", "left_semi")
@@ -35,7 +35,8 @@ def rerank(
     if include_self:
         candidates = candidates.unionByName(asked.join(near.select(F.col("item1").alias("from")).distinct(), "from", "left_semi").select("event_id", F.col("from").alias("item")))
     pairs = candidates.join(recent, "event_id")
-    known = similar.groupBy(F.col("item1").alias("item"), F.col("item2").alias("recent")).agg(F.max("similarity").alias("s"))
+    wanted = candidates.select(F.col("item").alias("item1")).distinct()
+    known = similar.join(wanted, "item1", "left_semi").groupBy(F.col("item1").alias("item"), F.col("item2").alias("recent")).agg(F.max("similarity").alias("s"))
     pairs = pairs.join(known, ["item", "recent"], "left")
     own = F.when(F.col("item") == F.col("recent"), F.lit(1.0)) if include_self else F.lit(None).cast("double")
     pairs = pairs.withColumn("s", F.coalesce(own, "s", F.lit(default))).filter(F.col("s") > least)

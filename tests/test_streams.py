@@ -1,8 +1,11 @@
 """Streams against batches, replayed batches, fresh checkpoints, and compaction."""
 
+import itertools
 import os
 import shutil
 
+from pyspark.sql import functions as F
+
 from tessera.operators import clicks, orders, relational
 from tessera.streaming import jobs
 from tessera.streaming.increments import Increments
@@ -41,6 +44,7 @@ def test_orders_replay_fresh_checkpoint_and_compaction(spark, tmp_path):
     assert rows(table.totals()) == [(1, 3, 49), (2, 1, 5)]
     assert rows(table.last("total")) == [(1, 3), (2, 5)]
     assert rows(orders.grand_total(table.batches())) == [(4, 54)]
+    assert rows(jobs.side(spark, str(tmp_path / "out"), "rejects", "value string"), "value") == [("no json",), ('{"id":4}',)]
     # batch 1 is replayed, as after a crash before its commit
     (tmp_path / "cp/commits/1").unlink()
     (tmp_path / "cp/commits/.1.crc").unlink(missing_ok=True)
@@ -111,15 +115,114 @@ def test_unblocked_stream(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "out")), "value") == [("20180808 mary",), ("20180808 zed",), ("short",)]
 
 
-def test_rerank_stream(spark, tmp_path):
+def replay(tmp_path, checkpoint, batch):
+    """As after a crash before the batch was committed."""
+    (tmp_path / checkpoint / f"commits/{batch}").unlink()
+    (tmp_path / checkpoint / f"commits/.{batch}.crc").unlink(missing_ok=True)
+
+
+def test_rerank_stream_scores_repeated_events_once(spark, tmp_path):
     past = spark.createDataFrame([(7, 1, 4.0, 2), (7, 2, 2.0, 1), (8, 1, 1.0, 1)], "user int, item int, rating double, ts int")
     sims = spark.createDataFrame([(5, 3, 0.9), (5, 4, 0.9), (3, 1, 0.9), (3, 2, 0.4), (4, 1, 0.7), (4, 2, 0.8)], "item1 int, item2 int, similarity double")
     jobs.bucketed(past, "user", str(tmp_path / "ratings"))
     jobs.bucketed(sims, "item1", str(tmp_path / "similar"))
-    feed(tmp_path / "in", ["7,5,4.0,1500000000000", "bad"])
-    finish(jobs.rerank_stream(spark, jobs.line_stream(spark, str(tmp_path / "in")), str(tmp_path / "ratings"), str(tmp_path / "similar"), str(tmp_path / "out"), str(tmp_path / "cp")))
-    got = {r.item: r.score for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert set(got) == {3, 4, 5}
+    event, other = "7,5,4.0,1500000000000", "8,5,4.0,1500000000000"
+
+    def run(name, *batches):
+        if batches:
+            feed(tmp_path / name / "in", *batches)
+        lines = jobs.line_stream(spark, str(tmp_path / name / "in"), files_per_batch=1)
+        finish(jobs.rerank_stream(spark, lines, str(tmp_path / "ratings"), str(tmp_path / "similar"), str(tmp_path / name / "out"), str(tmp_path / name / "cp")))
+        table = lambda what, schema: jobs.side(spark, str(tmp_path / name / "out"), what, schema)
+        lines_in = sum(r.n for r in [table("repeated", "times bigint").selectExpr("coalesce(sum(times), 0) as n").first()]) + table("rejects", "value string").count() + table("events", "event_id string").count()
+        return rows(table("scores", "event_id string, item int, score double").select("event_id", "item", "score")), lines_in
+
+    once, _ = run("once", [event, other])
+    assert {item for _, item, _ in once} == {3, 4, 5}
+    many, lines_in = run("many", [event, event, "bad"], [other, event, "7,x,1,2"], [other])
+    assert many == once and lines_in == 7
+    replay(tmp_path, "many/cp", 2)
+    assert run("many") == (once, 7)
+
+
+def test_stored_daily_clicks_keep_every_line(spark, tmp_path):
+    line = lambda d, c: f"10.0.0.1\t2018-09-{d} 01:02:03\tGET /class/{c}.html http/1.1\t200\t-"
+    batches = [[line(10, 1), line(10, 1), line(11, 1), "bad"], [line(10, 1), line(13, 2), line(13, 0)], [line(20, 3)], [line(10, 1), line(25, 9), line(10, "x")]]
+    feed(tmp_path / "in", *batches)
+    out = str(tmp_path / "out")
+
+    def run():
+        query, table = jobs.stored_daily_clicks(spark, jobs.line_stream(spark, str(tmp_path / "in"), files_per_batch=1), out, str(tmp_path / "cp"))
+        finish(query)
+        late = rows(jobs.side(spark, out, "late", "value string"), "value")
+        rejects = rows(jobs.side(spark, out, "rejects", "value string, reason string"), "reason")
+        days = [(str(d), c, n) for d, c, n in rows(table.totals())]
+        assert sum(n for _, _, n in days) + len(late) + len(rejects) == sum(map(len, batches))
+        return days, late, rejects
+
+    first = run()
+    assert first == ([("2018-09-10", 1, 3), ("2018-09-11", 1, 1), ("2018-09-13", 2, 1), ("2018-09-20", 3, 1), ("2018-09-25", 9, 1)], [(line(10, 1),)], [("course",), ("fields",), ("zero",)])
+    replay(tmp_path, "cp", 3)
+    assert run() == first
+    assert [str(r.day) for r in jobs.closed_days(spark, out).orderBy("day").collect()] == ["2018-09-10", "2018-09-11", "2018-09-13", "2018-09-20"]
+
+
+def numbers(spark, *rows):
+    return spark.createDataFrame(list(rows), "k string, n bigint")
+
+
+def test_last_values_outlive_compaction_and_fresh_checkpoints(spark, tmp_path):
+    table = Increments(spark, str(tmp_path / "t"), {"k": "string"}, {"n": "bigint"}, buckets=4)
+    for batch, some in enumerate([[("a", 5), ("b", 7), (None, 1)], [("a", 9)], [("c", 2)], [("b", 1), ("a", 3)]]):
+        table.write(numbers(spark, *some), "q", batch)
+    table.write(numbers(spark, ("a", 100)), "a fresh one", 0)  # its name is smaller, its batch number too: it began later
+    want, sums = [(None, 1), ("a", 100), ("b", 1), ("c", 2)], [(None, 1), ("a", 117), ("b", 8), ("c", 2)]
+    key = lambda r: r[0] or ""
+    for upto in [{}, {"q": 0}, {"q": 1}, {"a fresh one": 0}, {"q": 3}]:
+        table.compact(upto)
+        assert sorted(map(tuple, table.last("n").collect()), key=key) == want
+        assert sorted(map(tuple, table.totals().collect()), key=key) == sums
+    table.write(numbers(spark, ("a", 9)), "q", 1)  # a replay of a compacted batch
+    table.remove_covered(keep=1)
+    assert len(os.listdir(tmp_path / "t/compacted")) == 1 and not os.listdir(tmp_path / "t/increments/query_id=q")
+    table.write(numbers(spark, ("d", 4)), "q", 4)
+    again = Increments(spark, str(tmp_path / "t"), {"k": "string"}, {"n": "bigint"}, buckets=64)
+    assert again.buckets == 4 and sorted(map(tuple, again.last("n").collect()), key=key) == want + [("d", 4)]
+
+
+def test_compactors_do_not_replace_each_other(spark, tmp_path):
+    for at, order in enumerate(itertools.permutations(["a.write", "a.commit", "b.write", "b.commit"])):
+        if order.index("a.write") > order.index("a.commit") or order.index("b.write") > order.index("b.commit"):
+            continue
+        table = Increments(spark, str(tmp_path / f"t{at}"), {"k": "string"}, {"n": "bigint"}, buckets=2)
+        for batch in range(3):
+            table.write(numbers(spark, ("a", 1), ("b", batch)), "q", batch)
+        both = {"a": table.compaction({"q": 0}), "b": table.compaction({"q": 1})}
+        done = []
+        for step in order:
+            name, what = step.split(".")
+            if getattr(both[name], what)():
+                done.append(name)
+            assert rows(table.totals()) == [("a", 3), ("b", 3)] and rows(table.last("n")) == [("a", 1), ("b", 2)]
+        assert len(done) == 1
+        table.compact({"q": 1})  # the one that lost begins again
+        assert table.commit()[2] == {"q": 1} and rows(table.totals()) == [("a", 3), ("b", 3)] and rows(table.batches(), "k", "n") == [("a", 1), ("b", 2)]
+
+
+def test_point_reads_open_the_buckets_of_the_keys(spark, tmp_path):
+    table = Increments(spark, str(tmp_path / "t"), {"k": "string"}, {"n": "bigint"}, buckets=16)
+    for batch in range(3):
+        table.write(numbers(spark, *((f"k{i}", i) for i in range(200))), "q", batch)
+    table.compact({"q": 0})
+    keys = spark.createDataFrame([("k7",), ("nobody",), ("k7",)], "k string")
+    assert rows(table.lookup(keys)) == [("k7", 21), ("k7", 21), ("nobody", 0)]
+    whole, some = (len({f for f in df.inputFiles()}) for df in (table.totals(), table.totals(keys)))
+    read = table.totals(keys)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan or "bucket#" in plan.split("PartitionFilters")[1][:200]
+    files = {r.f for r in table._live(table.commit()[2]).filter(F.col("bucket").isin([r.bucket for r in keys.select(table._bucket()).collect()])).select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(files) <= 4 < whole and some <= whole  # two buckets of two batches
+    assert rows(read) == [("k7", 21)] and sorted(rows(table.totals()))[:1] == [("k0", 0)]
 
 
 def test_daily_clicks_by_event_time(spark, tmp_path):
