@@ -10,19 +10,7 @@ from ..operators import clicks, orders, ranking, ratings, recommend, relational,
 from ..sources import files, sinks
 from .inputs import CLICK_LINES, RATINGS, cents, click_lines, table
 from .inputs import ratings as rating_rows
-
-QUERIES, ORACLES = {}, {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
+from .registry import ORACLES, QUERIES, query
 
 # Click logs
 
@@ -444,3 +432,6 @@ def implicit_recommend_named(spark: SparkSession, d: str) -> DataFrame:
     found = recommend.recommend_all(recommend.implicit(train), 5)
     names = table(spark, d, "part").select(F.col("p_partkey").cast("int").alias("id"), F.col("p_name").alias("name"))
     return recommend.with_names(found, names).join(recommend.id_lists(found), "user")
+
+
+from . import places, stored  # noqa: E402, F401  (they register their queries)
