@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import scratch_path
+
 SCORE_BUCKETS = 1024
 ITEM_RANGE = 4096
+#: Bits of a row's place in its part, as monotonically_increasing_id() gives it.
+PART_BITS = 33
 
 
 def auc_per_user(positives: DataFrame, negatives: DataFrame, user: str = "user", score: str = "score") -> DataFrame:
@@ -35,13 +39,35 @@ def mean_auc(positives: DataFrame, negatives: DataFrame, user: str = "user", sco
 
 
 def numbered_items(items: DataFrame, item: str = "item") -> DataFrame:
-    """item, idx: dense numbers from 0 in the order of ids; ranges of ids are counted first and numbered each on its own."""
-    rows = items.select(item).filter(F.col(item).isNotNull()).distinct().withColumn("range__", F.expr(f"`{item}` div {ITEM_RANGE}"))
-    counts = rows.groupBy("range__").agg(F.count("*").alias("n__"))
-    before = Window.orderBy("range__").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("range__", F.coalesce(F.sum("n__").over(before), F.lit(0)).alias("before__"))
-    own = Window.partitionBy("range__").orderBy(item)
-    return rows.withColumn("k__", F.row_number().over(own) - 1).join(counts, "range__").select(item, (F.col("before__") + F.col("k__")).alias("idx"))
+    """item, idx: dense numbers from 0 in the order of ids, of any spread.
+
+    The distinct ids are sorted by ranges, and written once with their place in their part; each part then begins where the parts before it end. Only the sizes of the
+    parts are gathered, one number for each.
+    """
+    spark = items.sparkSession
+    path = scratch_path(spark, "numbered")
+    rows = items.select(item).filter(F.col(item).isNotNull()).distinct().repartitionByRange(item).sortWithinPartitions(item)
+    rows.withColumn("at__", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.schema(rows.withColumn("at__", F.lit(0).cast("bigint")).schema).parquet(path)
+    placed = placed.select(item, F.shiftright("at__", PART_BITS).alias("part__"), F.col("at__").bitwiseAND(F.lit((1 << PART_BITS) - 1)).alias("k__"))
+    before, starts = 0, []
+    for r in placed.groupBy("part__").agg(F.max("k__").alias("k")).orderBy("part__").collect():  # one row for each part
+        starts.append((r.part__, before))
+        before += r.k + 1
+    starts = spark.createDataFrame(starts, "part__ bigint, before__ bigint")
+    return placed.join(F.broadcast(starts), "part__").select(item, (F.col("before__") + F.col("k__")).alias("idx"))
+
+
+def counted_before(rows: DataFrame, key: str, order: list[str], counted: Column, block: Column, name: str) -> DataFrame:
+    """rows with the sum of ``counted`` over the rows of the key up to each, in an order that rises with ``block``: blocks are summed first and then each on its own, so
+    a key with very many rows is spread over its blocks."""
+    rows = rows.withColumn("block__", block).withColumn("counted__", counted)
+    sums = rows.groupBy(key, "block__").agg(F.sum("counted__").alias("s__"))
+    earlier = F.coalesce(F.sum("s__").over(Window.partitionBy(key).orderBy("block__").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select(key, "block__", earlier.alias("earlier__"))
+    upto = Window.partitionBy(key, "block__").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn(name, F.sum("counted__").over(upto)).join(sums, [key, "block__"])
+    return rows.withColumn(name, F.col(name) + F.col("earlier__")).drop("block__", "counted__", "earlier__")
 
 
 def draw(user: str, number: str, seed: int) -> Column:
@@ -59,14 +85,12 @@ def sample_negatives(positives: DataFrame, items: DataFrame, seed: int = 0, user
     index = numbered_items(items, item)
     pos = positives.select(user, item).distinct().join(index, item)
     total = index.agg(F.count("*").alias("items__"))  # one row
-    order = Window.partitionBy(user).orderBy("idx")
-    pos = pos.withColumn("k", F.row_number().over(order) - 1).withColumn("n", F.count("*").over(Window.partitionBy(user)))
-    pos = pos.join(F.broadcast(total)).filter("items__ > n")
+    pos = counted_before(pos, user, ["idx"], F.lit(1), F.expr(f"idx div {ITEM_RANGE}"), "k").withColumn("k", (F.col("k") - 1).cast("int"))
+    pos = pos.join(pos.groupBy(user).agg(F.count("*").alias("n")), user).join(F.broadcast(total)).filter("items__ > n")
     draws = pos.select(user, F.col("k").alias("draw"), (draw(user, "k", seed) % (F.col("items__") - F.col("n"))).alias("at"), F.lit(1).alias("kind"))
     marks = pos.select(user, F.lit(-1).cast("int").alias("draw"), (F.col("idx") - F.col("k")).alias("at"), F.lit(0).alias("kind"))
-    upto = Window.partitionBy(user).orderBy("at", "kind").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    moved = marks.unionByName(draws).withColumn("idx", F.col("at") + F.sum(1 - F.col("kind")).over(upto)).filter("kind = 1")
-    return moved.select(user, "draw", "idx").join(index, "idx").select(user, "draw", item)
+    moved = counted_before(marks.unionByName(draws), user, ["at", "kind"], 1 - F.col("kind"), F.expr(f"at div {ITEM_RANGE}"), "past").filter("kind = 1")
+    return moved.select(user, "draw", (F.col("at") + F.col("past")).alias("idx")).join(index, "idx").select(user, "draw", item)
 
 
 def popularity(train: DataFrame, item: str = "item", rating: str = "rating") -> DataFrame:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from itertools import product
+from multiprocessing.pool import ThreadPool
+from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ranking import mean_auc, rmse, sample_negatives
@@ -44,26 +47,53 @@ def load(path: str) -> ALSModel:
     return ALSModel.load(path)
 
 
-def tune_by_rmse(train: DataFrame, validation: DataFrame, ranks, regs, iterations, seed: int = 42) -> tuple[ALSModel, list[tuple]]:
-    """The model with the smallest validation RMSE (the first of equals), and (rank, reg, iterations, rmse) of the grid."""
-    best, found, log = None, float("inf"), []
-    for rank, reg, its in product(ranks, regs, iterations):
+def each_setting(spark: SparkSession, work: Callable, settings: list[tuple], jobs: int) -> list:
+    """work(*setting) of all settings, at most ``jobs`` at a time, in the order of the settings whichever ends first. The first failure ends it."""
+    if jobs < 1:
+        raise ValueError("at least one job")
+    with ThreadPool(min(jobs, max(1, len(settings)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda setting: work(*setting)), settings, chunksize=1)
+
+
+def tune_by_rmse(train: DataFrame, validation: DataFrame, ranks, regs, iterations, seed: int = 42, jobs: int = 4) -> tuple[ALSModel, list[tuple]]:
+    """The model with the smallest validation RMSE (the first of equals), and (rank, reg, iterations, rmse) of the grid in its order.
+
+    Settings are fitted ``jobs`` at a time over one cached frame; models other than the best are not kept.
+    """
+    best = (None, float("inf"), -1)
+    settings, lock = list(product(ranks, regs, iterations)), Lock()
+    train, validation = train.persist(), validation.persist()
+
+    def work(place: int, rank: int, reg: float, its: int) -> tuple:
+        nonlocal best
         model = explicit(train, rank, its, reg, seed)
         error = rmse(validation, predict(model, validation.select("user", "item")), ["user", "item"]).first().rmse  # one number
-        log.append((rank, reg, its, error))
-        if error is not None and error < found:
-            best, found = model, error
-    return best, log
+        with lock:
+            if error is not None and (error, place) < best[1:]:
+                best = (model, error, place)
+        return rank, reg, its, error
+
+    try:
+        log = each_setting(train.sparkSession, work, [(i, *s) for i, s in enumerate(settings)], jobs)
+    finally:
+        train.unpersist(), validation.unpersist()
+    return best[0], log
+
 
+def tune_by_auc(train: DataFrame, held_out: DataFrame, items: DataFrame, ranks, regs, alphas, iterations: int = 5, seed: int = 42, jobs: int = 4) -> list[tuple]:
+    """(rank, reg, alpha, mean AUC) of an implicit grid, the best first, equals in the order of the grid; ``jobs`` settings at a time over one cached frame and one sample."""
+    train, negatives = train.persist(), sample_negatives(held_out, items, seed).persist()
 
-def tune_by_auc(train: DataFrame, held_out: DataFrame, items: DataFrame, ranks, regs, alphas, iterations: int = 5, seed: int = 42) -> list[tuple]:
-    """(rank, reg, alpha, mean AUC) of an implicit grid, the best first."""
-    negatives = sample_negatives(held_out, items, seed)
-    log = []
-    for rank, reg, alpha in product(ranks, regs, alphas):
+    def work(rank: int, reg: float, alpha: float) -> tuple:
         model = implicit(train, rank, iterations, reg, alpha, seed)
-        log.append((rank, reg, alpha, auc_of(held_out, negatives, lambda pairs, m=model: predict(m, pairs).withColumnRenamed("prediction", "score")).first().mean_auc))
-    return sorted(log, key=lambda r: -r[3])
+        found = auc_of(held_out, negatives, lambda pairs: predict(model, pairs).withColumnRenamed("prediction", "score")).first().mean_auc
+        return rank, reg, alpha, found
+
+    try:
+        log = each_setting(train.sparkSession, work, list(product(ranks, regs, alphas)), jobs)
+    finally:
+        train.unpersist(), negatives.unpersist()
+    return sorted(log, key=lambda r: -r[3] if r[3] is not None else float("inf"))
 
 
 def auc_of(held_out: DataFrame, negatives: DataFrame, score: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -384,7 +384,7 @@ def _similar(spark: SparkSession, d: str) -> DataFrame:
     return rows.filter("item1 <> item2").distinct()
 
 
-@query(f"""WITH {RATINGS}, {_SIMILAR}, asked AS (SELECT event_id, "user", item AS src FROM ratings WHERE event_id % 4 = 1),
+@query(f"""WITH {RATINGS}, {_SIMILAR}, asked AS (SELECT event_id, "user", item AS src FROM ratings),
 recent AS (SELECT "user", item AS recent, rating FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY ts DESC, item) AS r FROM ratings) WHERE r <= 5),
 cand AS (SELECT event_id, "user", item2 AS item FROM asked JOIN sims ON src = item1 UNION ALL SELECT event_id, "user", src FROM asked WHERE src IN (SELECT item1 FROM sims)),
 pairs AS (SELECT event_id, c."user", c.item, rating, CASE WHEN c.item = recent THEN 1.0 ELSE coalesce((SELECT max(similarity) FROM sims s WHERE s.item1 = c.item AND s.item2 = recent), 0.6) END AS s FROM cand c JOIN recent r ON c."user" = r."user"),
@@ -393,8 +393,7 @@ g AS (SELECT event_id, "user", item, sum(CAST(s AS DOUBLE) * rating) AS total, c
 SELECT event_id, "user", item, round(total / sum(n) OVER (PARTITION BY event_id) + log2(greatest(up, 1)) - log2(greatest(down, 1)), 9) AS score FROM g""")
 def rerank_candidates(spark: SparkSession, d: str) -> DataFrame:
     rows = rating_rows(spark, d)
-    events = rows.filter("event_id % 4 = 1").select("event_id", "user", "item")
-    return rerank.rerank(events, rows, _similar(spark, d)).withColumn("score", F.round("score", 9))
+    return rerank.rerank(rows.select("event_id", "user", "item"), rows, _similar(spark, d)).withColumn("score", F.round("score", 9))
 
 
 def _als_input(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -403,10 +402,14 @@ def _als_input(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataF
     return tuple(rows.filter(c).select("user", "item", "rating") for c in ("digit <= 5", "digit between 6 and 7", "digit >= 8"))
 
 
+def _all_ratings(spark: SparkSession, d: str) -> DataFrame:
+    return recommend.int_ids(rating_rows(spark, d), "user", "item")[0].select("user", "item", "rating")
+
+
 @query()
 def als_grid_by_rmse(spark: SparkSession, d: str) -> DataFrame:
     """Each setting of a small grid with its validation RMSE, and the test RMSE of the best."""
-    train, validation, test = (x.persist() for x in _als_input(spark, d))
+    train, validation, test = _als_input(spark, d)
     best, log = recommend.tune_by_rmse(train, validation, (3, 5), (0.1, 0.3), (5,))
     tested = ranking.rmse(test, recommend.predict(best, test.select("user", "item")), ["user", "item"])
     grid = spark.createDataFrame(log, "rank int, reg double, iterations int, validation_rmse double")
@@ -415,20 +418,22 @@ def als_grid_by_rmse(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def als_recommend_all(spark: SparkSession, d: str) -> DataFrame:
-    return recommend.recommend_all(recommend.explicit(_als_input(spark, d)[0]), 10)
+    """The ten best items of every user, by a model of all ratings."""
+    return recommend.recommend_all(recommend.explicit(_all_ratings(spark, d)), 10)
 
 
 @query()
 def implicit_grid_by_auc(spark: SparkSession, d: str) -> DataFrame:
     train, _, test = _als_input(spark, d)
     train = train.groupBy("user", "item").agg(F.sum("rating").alias("rating"))
-    log = recommend.tune_by_auc(train.persist(), test.select("user", "item").distinct(), train.select("item"), (5, 10), (1.0, 0.0001), (1.0,), iterations=4)
+    log = recommend.tune_by_auc(train, test.select("user", "item").distinct(), train.select("item"), (5, 10), (1.0, 0.0001), (1.0,), iterations=4)
     return spark.createDataFrame(log, "rank int, reg double, alpha double, mean_auc double")
 
 
 @query()
 def implicit_recommend_named(spark: SparkSession, d: str) -> DataFrame:
-    train = _als_input(spark, d)[0].groupBy("user", "item").agg(F.sum("rating").alias("rating"))
+    """The five best items of every user with their names, by an implicit model of all ratings."""
+    train = _all_ratings(spark, d).groupBy("user", "item").agg(F.sum("rating").alias("rating"))
     found = recommend.recommend_all(recommend.implicit(train), 5)
     names = table(spark, d, "part").select(F.col("p_partkey").cast("int").alias("id"), F.col("p_name").alias("name"))
     return recommend.with_names(found, names).join(recommend.id_lists(found), "user")
