@@ -3,8 +3,9 @@
 A text is lower-cased (A-Z only), split into pieces at ``[.,;:!?\\n\\x0B\\x0C\\r]`` and pieces into words at spaces and tabs; everything is counted within
 a language (null: ``und``). A task turns its texts into shards of at most ``SHARD_WORDS`` word ids with a small table of their distinct words.
 
-Level by level, each shard tells the counts of the phrases it holds and one shuffle sums them: a window over equal phrases gives the total and one common
-number to every shard that has the phrase. Phrases under ``least`` are gone, and only phrases whose first and last k words are both left are looked
+Level by level, each shard tells the counts of the phrases it holds and shuffles sum them. Most phrases of a level turn out to be rare, so shards first send counts by cell, a hash of the
+phrase: three bytes for each instead of a row. Cells under ``least`` hold no phrase that reaches it, and the shards hear, one bit for each, which cells go on; rows are made for the
+phrases of these only. A window over equal phrases then gives the exact total and one common number to every shard that has the phrase. Phrases under ``least`` are gone, and only phrases whose first and last k words are both left are looked
 at with k+1 words (any part of a frequent phrase is as frequent). A phrase of k+1 words is named by the numbers of these two parts, so rows stay
 five numbers wide at any length.
 
@@ -37,6 +38,8 @@ DEPTH, LEAST, TOP = 5, 100, 2000
 SHARD_WORDS = 2_000_000
 #: Bytes of a text that are split into words at a time.
 BLOCK = 1 << 22
+#: Cells of one part of the hash of a level, and words of the corpus for each part (there are as many parts as shuffle partitions at least).
+CELLS, PART_WORDS = 1 << 20, 1 << 22
 #: The most buckets that Spark lets a table have.
 MOST_BUCKETS = 100_000
 
@@ -229,17 +232,74 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*cols, pa.array([rank[1 : 1 + head]], pa.list_(pa.int64())), phrases], ["shard", "words", "left", "right", "head", "known"])
 
 
-def _extend(left: bool, length: int):
-    """Function for mapInArrow: index rows with the phrases of ``length`` words that are left, to phrases of one word more."""
+def _found(left: bool, length: int, words: pa.Scalar, bwt: pa.Scalar, head: pa.Scalar, known: pa.Scalar) -> dict[str, np.ndarray]:
+    at, n, number = _longs(known, "at", "n", "number")
+    return _longer(_unpack(bwt.as_py(), words.as_py()), left, length, at >> 32, at >> 8 & 0xFFFFFF, n + (at & 0xFF), number, np.array(head.as_py(), np.int64))
+
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _cells(found: dict[str, np.ndarray], parts: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct cells in order, where each part of them begins, the cell of each phrase): a cell is part * width + place."""
+    h = found["prefix"].astype(np.uint64)
+    for more in (found["suffix"].astype(np.uint64), np.uint64(0)):
+        h = (h * _MIX) + more
+        h ^= h >> np.uint64(29)
+    part, place = h % np.uint64(parts), (h // np.uint64(parts)) % np.uint64(width)
+    cells, own = np.unique((part * np.uint64(width) + place).astype(np.int64), return_inverse=True)
+    return cells, np.searchsorted(cells, np.arange(parts + 1) * width), own
+
+
+def _ask(left: bool, length: int, parts: int, width: int, least: int):
+    """Function for mapInArrow: the counts of each shard by cell, a row for each part: steps between the cells, and counts up to ``least``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, *index in zip(*batch.columns):
+                found = _found(left, length, *index)
+                cells, ends, own = _cells(found, parts, width)
+                n = np.bincount(own, weights=found["n"], minlength=len(cells)).clip(0, least).astype("<u1" if least < 256 else "<u4")
+                held = np.flatnonzero(np.diff(ends))
+                gaps = [np.diff(cells[ends[p] : ends[p + 1]] - p * width, prepend=0) for p in held]
+                steps = [_pack(g) for g in gaps]
+                counts = [n[ends[p] : ends[p + 1]].tobytes() for p in held]
+                cols = [pa.array(held, pa.int32()), pa.array([shard.as_py()] * len(held), pa.int64()), pa.array([len(g) for g in gaps], pa.int32()), pa.array(steps, pa.binary()), pa.array(counts, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["part", "shard", "size", "steps", "counts"])
+
+    return work
+
+
+def _answer(width: int, least: int):
+    """Function for applyInArrow: one part of the cells; for each shard, a bit for each of its cells that says whether all shards together reach ``least`` there."""
+
+    def work(rows: pa.Table) -> pa.Table:
+        total = np.zeros(width, np.int64)
+        cells = [np.cumsum(_unpack(x.as_py(), n.as_py())) for x, n in zip(rows.column("steps"), rows.column("size"))]
+        for own, n in zip(cells, rows.column("counts")):
+            total[own] += np.frombuffer(n.as_py(), "<u1" if least < 256 else "<u4")
+        bits = [np.packbits(total[own] >= least).tobytes() for own in cells]
+        return pa.table([rows.column("shard"), rows.column("part"), pa.array(bits, pa.binary())], names=["shard", "part", "bits"])
+
+    return work
+
+
+def _extend(left: bool, length: int, parts: int, width: int):
+    """Function for mapInArrow: index rows with the phrases of ``length`` words that are left and the answer of the cells, to phrases of one word more."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, words, bwt, head, known in zip(*batch.columns):
-                at, n, number = _longs(known, "at", "n", "number")
-                found = _longer(_unpack(bwt.as_py(), words.as_py()), left, length, at >> 32, at >> 8 & 0xFFFFFF, n + (at & 0xFF), number, np.array(head.as_py(), np.int64))
-                for start in range(0, len(found["at"]), 100_000):
-                    cols = [pa.array(found[c][start : start + 100_000], pa.int64()) for c in ("at", "prefix", "suffix", "n")]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), shard.as_py()), pa.int64()), *cols], ["shard", "at", "prefix", "suffix", "n"])
+            for shard, *index, answer in zip(*batch.columns):
+                found = _found(left, length, *index)
+                cells, ends, own = _cells(found, parts, width)
+                alive = np.zeros(len(cells), bool)
+                for p, bits in zip(answer.values.field("part").to_pylist(), answer.values.field("bits").to_pylist()):
+                    alive[ends[p] : ends[p + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=ends[p + 1] - ends[p])
+                chosen = np.flatnonzero(alive[own])
+                for start in range(0, len(chosen), 100_000):
+                    some = chosen[start : start + 100_000]
+                    cols = [pa.array(np.full(len(some), shard.as_py()), pa.int64()), *(pa.array(found[c][some], pa.int64()) for c in ("at", "prefix", "suffix", "n"))]
+                    yield pa.RecordBatch.from_arrays(cols, ["shard", "at", "prefix", "suffix", "n"])
 
     return work
 
@@ -266,8 +326,8 @@ def _frequent(rows: DataFrame, keys: list[str], own, least: int) -> DataFrame:
     return rows.withColumn("total", F.sum("n").over(same)).withColumn("number", F.min(own).over(same)).filter(F.col("total") >= least)
 
 
-def _with_known(index: DataFrame, kept: DataFrame, *columns: str) -> DataFrame:
-    known = kept.groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias("known"))
+def _with_known(index: DataFrame, kept: DataFrame, *columns: str, name: str = "known") -> DataFrame:
+    known = kept.groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias(name))
     return index.join(known.hint("shuffle_hash"), "shard")
 
 
@@ -291,6 +351,7 @@ def phrases(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_WORDS)
         word = F.col("word").cast("string")
         level = one.select("number", "lang", word.alias("phrase"), word.alias("last"), F.col("total").alias("a"), F.col("all").alias("n"), F.array("total").alias("firsts"), F.array("total").alias("lasts"))
         levels = [_kept(level, f"{path}/phrases1")]
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(sums.agg(F.sum("all")).first()[0] or 0) // PART_WORDS))
         built = _with_known(gathered.filter("codes is not null").select("shard", "codes", "head"), kept, "id", "number").select("shard", "codes", "head", "known")
         table = _table(built.mapInArrow(_build, "shard long, words long, left binary, right binary, head array<long>, known array<struct<at: long, n: long, number: long>>"), index)
         own = F.shiftleft("shard", 24).bitwiseOR(F.shiftright("at", 32))
@@ -298,7 +359,10 @@ def phrases(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_WORDS)
             left = length % 2 == 1
             column = "left" if left else "right"
             ready = table if length == 1 else _with_known(table.drop("known"), kept, "at", "n", "number")
-            found = ready.select("shard", "words", column, "head", "known").mapInArrow(_extend(left, length), LEVEL_SCHEMA)
+            ready = ready.select("shard", "words", column, "head", "known")
+            asked = ready.mapInArrow(_ask(left, length, parts, CELLS, least), "part int, shard long, size int, steps binary, counts binary")
+            answer = asked.groupBy("part").applyInArrow(_answer(CELLS, least), "shard long, part int, bits binary")
+            found = _with_known(ready, answer, "part", "bits", name="answer").mapInArrow(_extend(left, length, parts, CELLS), LEVEL_SCHEMA)
             kept = _kept(_frequent(found, ["prefix", "suffix"], own, least), f"{path}/{length + 1}")
             p, s = (levels[-1].select(*(F.col(c).alias(f"{side}_{c}") for c in cols)) for side, cols in (("p", ["number", "lang", "phrase", "n", "firsts"]), ("s", ["number", "last", "lasts"])))
             level = kept.filter(F.col("number") == own).select("number", "prefix", "suffix", "total")
