@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from .common import small_batches
 
 MARK = "▁"
-TABLE_ENTRIES = 400_000
+TABLE_ENTRIES = 150_000
 LONGEST_KEPT = 64
 
 

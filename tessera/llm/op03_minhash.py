@@ -36,6 +36,10 @@ WORDS, PERMUTATIONS, ROWS = 5, 100, 5
 THRESHOLD = 75  # of 100
 BROADCAST_IDS = 1_000_000
 BLOCK, ROUNDS_OF_ASKING = 1024, 2
+#: Shingles of a block, shared ones counted for each set, and shared shingles that an ask counts at a time.
+BLOCK_SHINGLES, HITS = 1 << 20, 1 << 18
+#: Bytes of a text that are read at a time.
+BLOCK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -60,20 +64,31 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles of a whole text."""
+def _word_hashes(raw: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of some bytes."""
     global _UP, _DOWN
-    raw = np.frombuffer((text or "").encode().lower(), np.uint8)  # bytes: only A-Z change
-    space = _SPACE[raw]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[raw], [True]]).astype(np.int8)))
     start, end = edge[::2], edge[1::2]
-    if not len(start):
-        return np.zeros(0, np.uint64)
     if len(raw) > len(_UP):
         n = 1 << int(len(raw)).bit_length()
         _UP, _DOWN = _powers(_P, n), _powers(_INVERSE, n)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _UP[: len(raw)])])
-    h = _mix((sums[end] - sums[start]) * _DOWN[start] + (end - start).astype(np.uint64))
+    return _mix((sums[end] - sums[start]) * _DOWN[start] + (end - start).astype(np.uint64))
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles of a whole text, which is read in blocks that end at white space."""
+    raw = np.frombuffer((text or "").encode().lower(), np.uint8)  # bytes: only A-Z change
+    parts, at = [], 0
+    while at < len(raw):
+        end = at + BLOCK_BYTES
+        while end < len(raw) and not _SPACE[raw[end]]:
+            end += 1
+        parts.append(_word_hashes(raw[at:end]))
+        at = end
+    h = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    if not len(h):
+        return h
     k = min(words, len(h))
     out = np.full(len(h) - k + 1, k, np.uint64)
     for i in range(k):
@@ -142,7 +157,7 @@ class _Members:
 
     def __init__(self, names: list[bytes], sets: list[np.ndarray], joined: bool):
         self.names, self.sizes = names, np.array(list(map(len, sets)))
-        every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)
         order = np.argsort(every, kind="stable")
         self.every, self.owner = every[order], owner[order]
         self.root: dict[bytes, bytes] = {}
@@ -156,9 +171,15 @@ class _Members:
     def links(self, name: bytes, s: np.ndarray, threshold: int) -> Iterator[tuple[bytes, bytes]]:
         """Confirmed links of a set to the members, without those that join what is joined already."""
         low, high = np.searchsorted(self.every, s, "left"), np.searchsorted(self.every, s, "right")
-        n = high - low
-        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-        both = np.bincount(self.owner[at], minlength=len(self.sizes))
+        both = np.zeros(len(self.sizes), np.int64)
+        ends = np.cumsum(high - low)
+        start = 0
+        while start < len(s):  # some shingles of the set at a time
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + HITS, "right")))
+            n = (high - low)[start:stop]
+            at = np.repeat(low[start:stop] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            both += np.bincount(self.owner[at], minlength=len(self.sizes))
+            start = stop
         for i in np.flatnonzero(100 * both >= threshold * (self.sizes + len(s) - both)):
             other = self.names[i]
             if other == name:
@@ -172,13 +193,13 @@ class _Members:
                 yield name, other
 
 
-def _compared(asks: DataFrame, members: DataFrame, sets: DataFrame, joined: bool, threshold: int) -> DataFrame:
-    """Links (a, b) between the sets that ask a group and the members of the group, (group, set) both; sets: set, shingles.
+def _compared(asks: DataFrame, members: DataFrame, sets: DataFrame, sizes: DataFrame, joined: bool, threshold: int) -> DataFrame:
+    """Links (a, b) between the sets that ask a group and the members of the group, (group, set) both; sets: set, shingles; sizes: set, n.
 
-    Members come in blocks of about ``BLOCK``; those who ask meet every block, so nothing holds a whole group and no pair is
+    Members come in blocks of about ``BLOCK`` sets or ``BLOCK_SHINGLES`` shingles, whichever is less; those who ask meet every block, so nothing holds a whole group and no pair is
     a row. ``joined``: the members of a group are one component already, so one link for each ask is enough.
     """
-    blocks = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocks = members.join(sizes, "set").groupBy("group").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     held = members.join(blocks, "group").select("group", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("asks"), "set")
     asked = asks.join(blocks, "group").select("group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "set")
     rows = held.unionByName(asked).join(sets, "set").select("group", "block", "asks", "set", "shingles")
@@ -196,7 +217,8 @@ def _compared(asks: DataFrame, members: DataFrame, sets: DataFrame, joined: bool
                     names.append(name)
                     held.append(s.copy())
                 elif names:
-                    index = index or _Members(names, held, joined)
+                    if index is None:
+                        index, held = _Members(names, held, joined), []
                     out += index.links(name, s, threshold)
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["a", "b"])
 
@@ -209,7 +231,7 @@ def components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     rows = docs.select("doc_id", docs["text"].cast("string").alias("text"))
     about = checkpoint(_described(rows))
     able = about.filter("set is not null and doc_id is not null")
-    classes = checkpoint(able.groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
+    classes = checkpoint(able.groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n")))
     # classes in band buckets; buckets of one class are left out
     by_band = classes.select(F.explode("bands").alias("band"), "set")
     shared = by_band.groupBy("band").agg(F.min("set").alias("least"), F.count("*").alias("size")).filter("size > 1").drop("size")
@@ -217,9 +239,11 @@ def components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     nodes = settled(bucket.groupBy("set").agg(F.min("least").alias("least")))
     sets = settled(_sets(rows, classes.join(nodes, "set", "left_semi").select("doc_id").distinct()).dropDuplicates(["set"]), 10_000)
 
+    weights = settled(nodes.select("set").join(classes.select("set", "n"), "set"))
+
     # each class with the smallest one that it shares a bucket with
     star = nodes.filter("set <> least").select(F.col("least").alias("group"), "set")
-    root = settled(connected(_compared(star, star.select("group", F.col("group").alias("set")).distinct(), sets, True, threshold)))
+    root = settled(connected(_compared(star, star.select("group", F.col("group").alias("set")).distinct(), sets, weights, True, threshold)))
 
     left = bucket.select("band", "set")
     for _ in range(ROUNDS_OF_ASKING):
@@ -234,7 +258,7 @@ def components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         asks = left.select("group", "set").distinct()
         groups = asks.select("group").distinct()
         members = groups.join(root.select(F.col("root").alias("group"), F.col("node").alias("set")), "group", "left").withColumn("set", F.coalesce("set", "group"))
-        links = _compared(asks, members, sets, True, threshold)
+        links = _compared(asks, members, sets, weights, True, threshold)
         left = left.select("band", "set")
         root = settled(connected(root.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)))
     else:
@@ -243,7 +267,7 @@ def components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
         rest = settled(placed.join(mixed, "band", "left_semi").select(F.col("band").alias("group"), "set"))
         if not rest.isEmpty():
-            links = _compared(rest, rest, sets, False, threshold)
+            links = _compared(rest, rest, sets, weights, False, threshold)
             root = settled(connected(root.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)))
 
     least = root.join(classes.select(F.col("set").alias("node"), "doc_id"), "node").groupBy("root").agg(F.min("doc_id").alias("least"))

@@ -61,6 +61,10 @@ def vectors(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
+#: Rows whose texts are Python strings at a time.
+PREDICTED = 64
+
+
 def spherical_k_means(x: np.ndarray, k: int) -> np.ndarray:
     """Unit centroids; the first is the mean's nearest row, each next one the row farthest from those before."""
     start = [int((x @ x.mean(0)).argmax())]
@@ -154,14 +158,17 @@ def train(labelled: DataFrame, key: str = "doc_id") -> Model:
 def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of docs, then lang_pred, score, rejected."""
     small_batches(docs.sparkSession)
-    own = [docs[c] for c in keep]
-    rows = docs.select(*own, docs["text"].cast("string").alias("text__"))
+    sent = list(keep) if dict(docs.dtypes).get("text") == "string" and "text" in keep else [*keep, "text__"]  # a text goes to Python once
+    rows = docs.withColumn("text__", docs["text"].cast("string")).select(*(F.col(f"`{c}`") for c in sent))
+    at, kept = sent.index("text") if "text__" not in sent else len(keep), len(keep)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lang, score, rejected = zip(*model.predict(batch.column(batch.num_columns - 1).to_pylist())) if batch.num_rows else ((), (), ())
-            cols = [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(cols, [*keep, "lang_pred", "score", "rejected"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, PREDICTED):
+                batch = whole.slice(start, PREDICTED)
+                lang, score, rejected = zip(*model.predict(batch.column(at).to_pylist()))
+                cols = [*batch.columns[:kept], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(cols, [*keep, "lang_pred", "score", "rejected"])
 
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep)

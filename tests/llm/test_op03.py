@@ -106,3 +106,16 @@ def test_components(spark):
     got = {r.node: r.root for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
     alone = {a for a, b in links if a == b}
     assert got == {i: find(i) for i in root if find(i) != i or any(find(j) == i and j != i for j in root)} or alone
+
+
+def test_blocks_of_text_and_of_hits_change_nothing(monkeypatch):
+    rng = np.random.default_rng(9)
+    text = " ".join(rng.choice(["a", "Bc", "déf", "g" * 40], 800))
+    whole = op.shingles(text)
+    sets = [op.shingles(" ".join(rng.permutation(text.split())[:300])) for _ in range(5)] + [whole, whole[:-3]]
+    names = [bytes([i]) for i in range(7)]
+    links = list(op._Members(names, sets, False).links(b"x", whole, 75))
+    monkeypatch.setattr(op, "BLOCK_BYTES", 50)
+    monkeypatch.setattr(op, "HITS", 7)
+    assert (op.shingles(text) == whole).all() and list(op._Members(names, sets, False).links(b"x", whole, 75)) == links and len(links) == 2
+    assert (op.shingles("x" * 500) == op.shingles("X" * 500)).all() and len(op.shingles("x" * 500 + " y")) == 1 and not len(op.shingles(" " * 200))
