@@ -25,11 +25,13 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or the one set for checkpoints already.
 
-    Without either (a local session, as in tests), a folder under the warehouse is taken.
+    Without either, a local session (as in tests) takes a folder under the warehouse; a cluster is refused.
     """
     own = spark.conf.get("spark.checkpoint.dir", None)
     if not own:
         chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not chosen.isDefined() and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         own = chosen.get() if chosen.isDefined() else spark.conf.get("spark.sql.warehouse.dir") + "/shared"
     return own.rstrip("/")
 

@@ -279,13 +279,16 @@ def components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of docs that stay: one of each component; rows without an id stay, of copies of an id one stays."""
+    """The rows of docs that stay: one of each component; rows without an id stay, of copies of an id one stays. Columns of docs may have any names."""
     from pyspark.sql import Window
 
-    gone = components(docs, threshold).filter("not kept").select(F.col("doc_id").alias("gone__id")).distinct()
-    left = docs.join(gone, docs["doc_id"] == F.col("gone__id"), "left_anti")
+    longest = max(map(len, docs.columns))
+    gone_id, number = "gone".ljust(longest + 1, "_"), "first".ljust(longest + 2, "_")  # names that docs cannot have
+    gone = components(docs, threshold).filter("not kept").select(F.col("doc_id").alias(gone_id)).distinct()
+    left = docs.join(gone, docs["doc_id"] == F.col(gone_id), "left_anti")
     first = Window.partitionBy("doc_id").orderBy("text")
-    return left.withColumn("first__", F.row_number().over(first)).filter("first__ = 1 or doc_id is null").select(*(F.col(f"`{c}`") for c in docs.columns))
+    kept = left.withColumn(number, F.row_number().over(first)).filter((F.col(number) == 1) | F.col("doc_id").isNull())
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 ORACLE = f"""

@@ -119,3 +119,11 @@ def test_blocks_of_text_and_of_hits_change_nothing(monkeypatch):
     monkeypatch.setattr(op, "HITS", 7)
     assert (op.shingles(text) == whole).all() and list(op._Members(names, sets, False).links(b"x", whole, 75)) == links and len(links) == 2
     assert (op.shingles("x" * 500) == op.shingles("X" * 500)).all() and len(op.shingles("x" * 500 + " y")) == 1 and not len(op.shingles(" " * 200))
+
+
+def test_deduplicate_with_clashing_columns(spark):
+    text = " ".join(map(str, range(40)))
+    rows = [(1, text, 7, 8, 9), (2, text, 7, 8, 9), (None, text, 7, 8, 9), (3, "other words", 1, 2, 3), (3, "other words", 1, 2, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, gone__id int, first__ int, row int").withColumnRenamed("row", "first")
+    got = op.deduplicate(df)
+    assert got.columns == df.columns and sorted((r.doc_id or 0, r.gone__id, r.first__, r["first"]) for r in got.collect()) == [(0, 7, 8, 9), (1, 7, 8, 9), (3, 1, 2, 3)]
