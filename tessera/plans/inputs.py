@@ -74,3 +74,19 @@ ratings AS (
 
 def cents(column: str):
     return F.round(F.col(column) * 100).cast("bigint")
+
+
+def page_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id and the address of the page it visits: the visits of a user stay within few pages, and some addresses lack a host."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id").join(F.broadcast(pages.agg(F.count("*").alias("pages"))))  # one row
+    rows = events.withColumn("page_id", (F.col("user_id") * 7 + F.col("event_id") % 3) % F.col("pages")).join(pages, "page_id", "left")
+    return rows.select("event_id", F.expr("case event_id % 17 when 0 then replace(url, '://', ':') when 1 then replace(url, '://', '://User@') when 2 then upper(url) else url end").alias("url"))
+
+
+PAGE_VISITS = """
+visits AS (
+  SELECT event_id, CASE event_id % 17 WHEN 0 THEN replace(url, '://', ':') WHEN 1 THEN replace(url, '://', '://User@') WHEN 2 THEN upper(url) ELSE url END AS url
+  FROM events LEFT JOIN pages ON page_id = (user_id * 7 + event_id % 3) % (SELECT count(*) FROM pages)
+)
+"""

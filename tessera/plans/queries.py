@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as fn
 from ..operators import clicks, orders, ranking, ratings, recommend, relational, rerank, similar
 from ..sources import files, sinks
-from .inputs import CLICK_LINES, RATINGS, cents, click_lines, table
+from .inputs import CLICK_LINES, PAGE_VISITS, RATINGS, cents, click_lines, page_visits, table
 from .inputs import ratings as rating_rows
 from .registry import ORACLES, QUERIES, query
 
@@ -32,6 +32,35 @@ def course_clicks_by_host(spark: SparkSession, d: str) -> DataFrame:
     return clicks.per_day_and_host(clicks.clean(click_lines(spark, d)))
 
 
+#: The third segment of any address, as the looser variant reads it.
+ANY_COURSE = "regexp_extract(string_split(rtrim(url, '/'), '/')[3], '^(.*)[.]', 1)"
+
+
+@query(f"""WITH {CLICK_LINES}, loose AS (
+  SELECT value, time, CASE WHEN regexp_full_match({ANY_COURSE}, '[+-]?[0-9]+') THEN CAST({ANY_COURSE} AS INTEGER) END AS course, f, url, status FROM parsed),
+sorted AS (SELECT *, CASE WHEN len(f) < 5 THEN 'fields' WHEN url IS NULL THEN 'request' WHEN course IS NULL THEN 'course' WHEN time IS NULL THEN 'time' WHEN status IS NULL THEN 'status' END AS why FROM loose)
+SELECT strftime(time, '%Y%m%d') || '_' || course AS day_course, count(*) AS clicks FROM sorted WHERE why IS NULL GROUP BY 1
+UNION ALL SELECT 'rejected_' || why, count(*) FROM sorted WHERE why IS NOT NULL GROUP BY 1""")
+def any_course_clicks_per_day(spark: SparkSession, d: str) -> DataFrame:
+    lines = click_lines(spark, d)
+    left_out = clicks.rejects(lines, any_path=True).groupBy(F.concat(F.lit("rejected_"), "reason").alias("day_course")).agg(F.count("*").alias("clicks"))
+    return clicks.per_day(clicks.clean(lines, any_path=True)).unionByName(left_out)
+
+
+_HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?([^/?#@:]+)', 2))"
+
+
+@query(f"""WITH {PAGE_VISITS}, counts AS (SELECT {_HOST} AS host, url, count(*) AS visits FROM visits WHERE {_HOST} <> '' GROUP BY 1, 2)
+SELECT host, CAST(row_number() OVER (PARTITION BY host ORDER BY visits DESC, url) AS INTEGER) AS rank, url, visits FROM counts QUALIFY rank <= 3""")
+def top_addresses_by_host(spark: SparkSession, d: str) -> DataFrame:
+    return clicks.top_addresses(page_visits(spark, d))
+
+
+@query(f"""WITH {PAGE_VISITS} SELECT event_id, url FROM visits WHERE NOT coalesce({_HOST} <> '', false)""")
+def visits_without_host(spark: SparkSession, d: str) -> DataFrame:
+    return clicks.without_host(page_visits(spark, d))
+
+
 @query(f"""WITH {CLICK_LINES}, counts AS (
   SELECT strftime(time, '%Y%m%d') || '_' || course_id AS day_course, count(*) AS clicks FROM judged WHERE reason IS NULL AND course_id <> 0 GROUP BY 1),
 keys AS (SELECT DISTINCT strftime(ts, '%Y%m%d') || '_' || (event_id % 13) AS day_course FROM events)

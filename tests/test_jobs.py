@@ -34,6 +34,32 @@ def test_clicks(spark):
     assert sorted(reasons) == sorted(["fields"] * 4 + ["course"] * 3 + ["request", "time", "status"])
 
 
+def test_clicks_of_any_path(spark):
+    good = "\t".join(["10.0.0.1", "2018-09-20 01:02:03", "GET /class/130.html http/1.1", "404", "http://cn.bing.com/search?q=x"])
+    same = [good.replace("/class/130", "/learn/130"), good.replace("130", "0"), good.replace("/class/130.html", "/a/130.tar.gz/b")]
+    df = lines(spark, good, *same, good.replace("/class/130.html", "/learn"), good.replace("130.html", "130"))
+    assert rows(clicks.per_day(clicks.clean(df, any_path=True))) == [("20180920_0", 1), ("20180920_130", 2)]
+    assert [r.reason for r in clicks.rejects(df, any_path=True).collect()] == ["course"] * 3
+    assert rows(clicks.per_day(clicks.clean(df))) == [("20180920_130", 1)]  # the stricter one counts the same lines by its own rule
+
+
+def test_top_addresses(spark):
+    #: A host's addresses with their counts.
+    learn = {"video": 521, "course": 521, "teacher": 512, "note": 511}
+    urls = [f"http://net.learn.com/net/{page}.shtml" for page, n in learn.items() for _ in range(n)]
+    urls += ["http://PHP.learn.com:80/a", "ftp://me@php.learn.com", "http://x?y#z", "/net/x.shtml", "http://", "", None]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    top = clicks.top_addresses(df)
+    assert [tuple(r) for r in top.filter("host = 'net.learn.com'").orderBy("rank").collect()] == [
+        ("net.learn.com", i + 1, f"http://net.learn.com/net/{page}.shtml", learn[page]) for i, page in enumerate(["course", "video", "teacher"])
+    ]
+    assert rows(top.filter("host <> 'net.learn.com'"), "host", "rank", "visits") == [("php.learn.com", 1, 1), ("php.learn.com", 2, 1), ("x", 1, 1)]
+    assert clicks.without_host(df).count() == 4
+    lists = {r.host: [tuple(a) for a in r.addresses] for r in clicks.address_lists(top).collect()}
+    assert lists["php.learn.com"] == [("ftp://me@php.learn.com", 1), ("http://PHP.learn.com:80/a", 1)] and len(lists["net.learn.com"]) == 3
+    assert clicks.top_addresses(df.limit(0)).isEmpty()
+
+
 def test_word_count(spark):
     df = spark.createDataFrame([("a b  a\n\nb ",), ("",), (None,)], "text string")
     assert rows(relational.word_count(df)) == [("", 3), ("a", 2), ("b", 2)]
