@@ -1,6 +1,7 @@
 """Secret scans with a random forest that removes false positives.
 
-A candidate is a run of at least 16 characters of ``A-Z a-z 0-9 _ + / -`` with a digit in it or the form of an access key id (and up to two ``=`` behind).
+A candidate is a bare run of at least 16 characters of ``A-Z a-z 0-9 _ + / -`` with a digit in it or the form of an access key id (and up to two ``=`` behind), or
+the value that a secret name is given by ``=``, ``:``, ``:=`` or ``=>``, of any length, letters and signs, up to white space or a quote and without the punctuation at its end.
 Its features are its length, shares and transitions of character classes, how much of it common words
 cover, whether it looks like a path, and its neighbouring words: an assignment, quotes, a word that names a secret, a word
 that names something else (a checksum, a commit, an example). A random forest trained from labelled findings gives the
@@ -24,7 +25,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9]|A[KS]IA[A-Z]{16})[A-Za-z0-9_+/-]{16,}+={0,2}"
 SAMPLE_IDS, TREES, DEPTH, SEED = 1500, 20, 6, 7
 SECRET_AT = 0.5
 MASK = "[SECRET]"
@@ -37,6 +37,13 @@ DICTIONARY = (
 
 _QUOTE = r"\\x22\\x27"
 _NAMES = "token|secret|passw|pwd|api.?key|access.?key|auth|credential|private.?key|bearer"
+_BARE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9]|A[KS]IA[A-Z]{16})[A-Za-z0-9_+/-]{16,}+={0,2}"
+# the short look behind spares most positions the long one
+_ASSIGNED = (
+    rf"(?<=[=:>][ ]{{0,3}}[\x22\x27]?)(?<=(?i:{_NAMES})[A-Za-z0-9_-]{{0,11}}[\x22\x27]?[ ]{{0,3}}(?:[:=]|:=|=>)[ ]{{0,3}}[\x22\x27]?)"
+    r"(?![=:>])[^\s\x22\x27`]*[^\s\x22\x27`.,;:!?)\]}]"
+)
+CANDIDATE = f"{_ASSIGNED}|{_BARE}"
 _OTHERS = "sha|md5|commit|hash|checksum|uuid|guid|example|sample|dummy|revision|digest|etag|id|order|card|phone|page|url|http"
 FEATURES = {
     "length": "least(length(c), 200)",
@@ -44,6 +51,9 @@ FEATURES = {
     "upper": "regexp_count(c, '[A-Z]') / length(c)",
     "not_hex": "regexp_count(c, '[^0-9a-fA-F]') / length(c)",
     "signs": "regexp_count(c, '[_+/=-]') / length(c)",
+    "other_signs": "regexp_count(c, '[^A-Za-z0-9_+/=-]') / length(c)",
+    "code": r"regexp_count(c, '[(\x5B{$<*%]|[A-Za-z]\x5C.[A-Za-z]') + if(after rlike '^[(\x5B]', 2, 0)",
+    "vowels": "regexp_count(c, '[aeiouyAEIOUY]') / (1 + regexp_count(c, '[A-Za-z]'))",
     "letter_digit": "(regexp_count(c, '[A-Za-z](?=[0-9])') + regexp_count(c, '[0-9](?=[A-Za-z])')) / length(c)",
     "case_changes": "(regexp_count(c, '[a-z](?=[A-Z])') + regexp_count(c, '[A-Z](?=[a-z])')) / length(c)",
     "repeats": r"regexp_count(c, '(.)(?=\\1)') / length(c)",
@@ -119,9 +129,32 @@ def labelled_findings(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         (0, "concat('def ')", "concat('test_default_value_of_', array('user', 'page', 'item')[r % 3], '_', r)", "'('"),
         (0, "concat('class ')", "concat('DefaultConfigVersion', r, 'ServerClient')", "' {'"),
         (0, f"concat({word}, ' ')", "concat('tionereshinganden', r % 10, 'thering')", "' a'"),
+        (0, f"upper(concat({word}, ' '))", "concat('TIONSHERINGER', array('THEREDED', 'ENTION', 'ANDTHEN')[r % 3], r % 10)", "' IN'"),
+        (0, "array('', ' ')[r % 2]", "concat('THERED', array('SHANING', 'UNGER', 'SCHENAND')[r % 3], array('THEREDED', 'ENTION')[r % 2], r % 10)", "' IN'"),
     ]
+    short = [  # values of secret names: of any length, with signs or of letters alone
+        (1, "substring(b, 1, 8 + r % 9)"),
+        (1, "concat(substring(b, 1, 3 + r % 5), array('!', '.', '$', '#', '@', '%', '&', '?')[r % 8], substring(b, 20, 4 + r % 7), array('', '-', '!x', '.2')[r % 4])"),
+        (1, f"concat(array('s3cr3t', 'Pa55w0rd', 'p4ssw0rd', 'h3ll0', 'Wint3r', 'm0nk3y')[r % 6], array('!', '.', '@', '#')[r % 4], {word}, array('.', '!', '-')[r % 3], r)"),
+        (1, "substring(translate(b, '0123456789+/', 'qWxZkVjQzXpR'), 1, 10 + r % 20)"),
+        (1, "substring(translate(h, '0123456789', 'ghjkmqrtvz'), 1, 12 + r % 12)"),
+        (1, "substring(translate(m, '0123456789', 'GhJkMqRtVz'), 1, 9 + r % 6)"),
+        (1, "concat(substring(d, 1, 6 + r % 5), substring(b, 1, 3))"),
+        (0, f"{word}"),
+        (0, "array('required', 'None', 'null', 'true', 'false', 'string', 'password', 'invalid', 'expired', 'optional', 'Smith', 'unknown', 'hidden', 'basic', 'Maria')[r % 15]"),
+        (0, "concat(array('the', 'ention', 'hered', 'sion', 'unger', 'ninger')[r % 6], array('ing', 'ion', 'ther', 'and', 'ein', 'schen')[r div 6 % 6], array('', 's', 'ent')[r % 3])"),
+        (0, "concat(array('get', 'read', 'load', 'input', 'env')[r % 5], array('Token', 'Secret', 'Password', '_value')[r % 4], array('()', '(user)', '(name', '[0]')[r div 4 % 4])"),
+        (0, "concat(array('os.environ', 'config.get', 'settings', 'self.user', 'request.form')[r % 5], array('.token', '.password', '[', '(key)', '.value')[r div 5 % 5])"),
+        (0, "concat(array('${', '<', '{{', '%(')[r % 4], array('TOKEN', 'your-secret', 'password', 'API_KEY')[r div 4 % 4], array('}', '>', '}}', ')s')[r % 4])"),
+        (0, "repeat(array('*', 'x', '.', '-', '#')[r % 5], 4 + r % 12)"),
+        (0, "concat(array('my_', 'your_', 'user_', 'the-')[r % 4], array('token', 'secret', 'password', 'name')[r div 4 % 4], array('', '_here', '-file', '_value')[r % 4])"),
+        (0, "cast(r % 1000 as string)"),
+        (0, "concat('https://host.example/', array('login', 'token', 'list')[r % 3])"),
+    ]
+    tail = r"'[.,;:!?)\\x5D}]*$'"  # punctuation at the end of a value stands behind it
+    kinds += [(y, f"concat('lorem ', {names}, {said})", f"regexp_replace({c}, {tail}, '')", f"concat(regexp_extract({c}, {tail}, 0), {closed})") for y, c in short]
     rows = [f"named_struct('label', {y}, 'before', {before}, 'c', {c}, 'after', {after})" for y, before, c, after in kinds]
-    return h.selectExpr(f"inline(array({', '.join(rows)}))").select("c", "before", "after", "label").filter(F.col("c").rlike(CANDIDATE))
+    return h.selectExpr(f"inline(array({', '.join(rows)}))").select("c", "before", "after", "label").filter(F.array_contains(F.regexp_extract_all(F.concat("before", "c", "after"), F.lit(CANDIDATE), F.lit(0)), F.col("c")))
 
 
 def train(findings: DataFrame):
