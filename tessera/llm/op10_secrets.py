@@ -25,6 +25,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import checkpoint
+
 SAMPLE_IDS, TREES, DEPTH, SEED = 1500, 20, 6, 7
 SECRET_AT = 0.5
 MASK = "[SECRET]"
@@ -159,7 +161,8 @@ def labelled_findings(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def train(findings: DataFrame):
     """Random forest over the features of labelled findings (c, before, after, label); None without both labels."""
-    rows = findings.selectExpr("double(label) label", *(f"double({f}) {n}" for n, f in FEATURES.items())).orderBy("label", *FEATURES).coalesce(1)
+    # read many times in training: kept once
+    rows = checkpoint(findings.selectExpr("double(label) label", *(f"double({f}) {n}" for n, f in FEATURES.items())).orderBy("label", *FEATURES).coalesce(1))
     if rows.select("label").distinct().count() < 2:
         return None
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
