@@ -9,7 +9,8 @@ all documents of a batch at once until the messages settle; tokens of base spans
 found in one place makes its repetitions agree, however many there are. Tokens whose marginal for a kind reaches ``threshold`` are added.
 
 The weights are learned by pseudo-likelihood on the tokens of a bounded sample of documents
-(``SAMPLE_DOCS`` by hash of the id, ``SAMPLE_TOKENS`` tokens at most), with base spans as labels; the skip potentials are
+(``SAMPLE_DOCS`` by hash of the id, of each ``DOC_TOKENS`` tokens at most and ``SAMPLE_TOKENS`` of all, those with the least digests of
+id and place, so that neither one document nor the layout of the files decides), with base spans as labels; the skip potentials are
 learned on pairs of successive occurrences.
 
 Defined results: null text counts as empty and gives no span and the digest of the empty string; a
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS, SAMPLE_TOKENS = 4000, 20_000
+SAMPLE_DOCS, DOC_TOKENS, SAMPLE_TOKENS = 4000, 200, 20_000
 THRESHOLD, DAMPING, CLAMP = 0.5, 0.5, 30.0
 #: A message rests while its changes are below SETTLED; after each ROUNDS changes its steps are halved, so that one that swings settles too.
 SETTLED, ROUNDS = 1e-6, 100
@@ -103,13 +105,13 @@ N_SHAPES = 23
 
 def shape(word: str) -> list[int]:
     """Numbers of the features that a token has."""
-    digits = _DIGIT.findall(word[:200])
+    digits = _DIGIT.findall(word)
     n = len(digits)
     on = [0, 1 + (n > 0) + (n > 3) + (n > 6) + (n > 8) + (n > 11) + (n > 15) + (n > 19)]
     core = word.strip(".,;:!?\"'()[]{}<>|")
     tests = (
         "@" in word, "@" in core[1:] and "." in core.rpartition("@")[2], core.startswith("+"), core.count(".") == 3, core.isdigit(),
-        any(c.isalpha() for c in core[:200]), "(" in word or ")" in word, "-" in core, len(core) > 24, core.replace(".", "").isdigit() and "." in core,
+        any(map(str.isalpha, core)), "(" in word or ")" in word, "-" in core, len(core) > 24, core.replace(".", "").isdigit() and "." in core,
         12 <= n <= 19 and luhn("".join(digits)), 12 <= n <= 19 and not luhn("".join(digits)), len(word) > 200,
     )
     return on + [10 + k for k, t in enumerate(tests) if t]
@@ -217,10 +219,10 @@ def marginals(graph: Graph, unary: np.ndarray, chain: np.ndarray, skip: np.ndarr
 
 
 def _sample(docs: DataFrame) -> list[tuple]:
-    """Token rows of the sample: features, label, and the neighbours' labels by kind of edge."""
+    """Token rows of the sample, by digest: features, label, and the neighbours' labels by kind of edge."""
     total = docs.count()
     share = min(1.0, SAMPLE_DOCS / max(total, 1))
-    chosen = docs.filter(F.col("text").rlike("[0-9@+]") & (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1))
+    docs = docs.filter(F.col("text").rlike("[0-9@+]") & (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,6 +230,13 @@ def _sample(docs: DataFrame) -> list[tuple]:
             for d, t in enumerate(batch.column(1)):
                 text = t.as_py() or ""
                 g.add(d, text, base_spans(text))
+            named = [str(i.as_py()) for i in batch.column(0)]
+            digest = [hashlib.sha256(f"{named[d]}:{start}".encode()).hexdigest() for d, start, _ in g.where]
+            chosen, of = [], Counter()
+            for i in sorted(range(len(digest)), key=digest.__getitem__):
+                of[g.where[i][0]] += 1
+                if of[g.where[i][0]] <= DOC_TOKENS:
+                    chosen.append(i)
             label = np.maximum(np.array(g.given, np.int64), 0)
             on, near = [[] for _ in label], np.zeros((len(label), 2, 5), np.int64)
             for i, f in zip(g.rows, g.cols):
@@ -237,11 +246,12 @@ def _sample(docs: DataFrame) -> list[tuple]:
                     near[a, kind, label[b]] += 1
                     near[b, kind, label[a]] += 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(label, pa.int64()), pa.array(on, pa.list_(pa.int64())), pa.array(list(near.reshape(-1, 10)), pa.list_(pa.int64()))],
-                ["label", "features", "near"],
+                [pa.array([digest[i] for i in chosen], pa.string()), pa.array(label[chosen], pa.int64()), pa.array([on[i] for i in chosen], pa.list_(pa.int64())), pa.array(list(near.reshape(-1, 10)[chosen]), pa.list_(pa.int64()))],
+                ["digest", "label", "features", "near"],
             )
 
-    return chosen.mapInArrow(work, "label long, features array<long>, near array<long>").limit(SAMPLE_TOKENS).collect()
+    found = docs.mapInArrow(work, "digest string, label long, features array<long>, near array<long>")
+    return found.orderBy("digest", "label", "features", "near").limit(SAMPLE_TOKENS).collect()
 
 
 def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -107,3 +107,18 @@ def test_long_graphs_settle():
     u, c, s = rng.normal(size=(5, op.N_SHAPES)), rng.normal(size=(5, 5)) * 2, rng.normal(size=(5, 5)) * 2
     p = op.marginals(g, u, (c + c.T) / 2, (s + s.T) / 2)
     assert p.shape == (len(g.given), 5) and np.isfinite(p).all() and np.allclose(p.sum(1), 1)
+
+
+def test_sample_does_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(op, "DOC_TOKENS", 5)
+    monkeypatch.setattr(op, "SAMPLE_TOKENS", 60)
+    rows = [(1, " ".join(f"id{i}x" for i in range(3000)))] + [(i, f"call +4917012345{i:02} or 10.0.0.{i} and a{i}@b.org") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    first = op._sample(docs.repartition(7))
+    assert len(first) == 60 and first == op._sample(docs.orderBy("doc_id").coalesce(1))
+    assert sum(r.label > 0 for r in first) > 30  # one long document does not fill the sample
+
+
+def test_shape_of_the_whole_token():
+    assert op.shape("x" * 300 + "1" * 25) == op.shape("x" * 200 + "1" * 125)
+    assert 15 in op.shape("1" * 300 + "x") and 15 not in op.shape("1" * 300)
