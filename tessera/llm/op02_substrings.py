@@ -281,18 +281,22 @@ def _finish(joined: DataFrame, kind: str) -> DataFrame:
     return joined.mapInArrow(work, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed string")
 
 
-def _bucketed(docs: DataFrame) -> DataFrame:
-    """row, doc_id, text (bytes), written bucketed by row, each row with a number of its own."""
+def _bucketed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """row, doc_id, text (bytes), written bucketed by row, each row with a number of its own; and whether the buckets are as small as they should be.
+
+    There are no more buckets than the session allows (spark.sql.sources.bucketing.maxBuckets); beyond that they grow with the texts.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary").alias("text"))
     total = docs.agg(F.sum(F.octet_length(docs["text"].cast("string")))).first()[0] or 0
     # with fewer buckets than shuffle partitions the planner would shuffle the texts after all
     n = max(4, -(-total // BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = min(n, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
     if n * rows.rdd.getNumPartitions() > MOST_FILES:  # else every task writes its own file of each bucket, and nothing is shuffled
         rows = rows.repartition(n, "row")
     name = "texts_" + scratch_path(spark, "").rpartition("-")[2]
     rows.write.format("parquet").bucketBy(n, "row").option("path", scratch_path(spark, "op2")).saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), n * BUCKET_BYTES >= total
 
 
 def remove_repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -300,7 +304,9 @@ def remove_repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     if not 81 <= gram <= min(162, length - 1) or not 243 <= length <= 486:
         raise ValueError("lengths outside the range of the names")
     small_batches(docs.sparkSession)
-    table = _bucketed(docs)
+    table, small = _bucketed(docs)
+    # what is known of the texts of a bucket is held in memory beside it; of larger buckets it is sorted, which spills
+    method = "shuffle_hash" if small else "merge"
     found = _runs(table, length, gram)
     by_sample, by_run = Window.partitionBy("a"), Window.partitionBy("a", "u")
     # intervals found inside a batch (c = 0) need no partner; they go along spread by row
@@ -314,13 +320,13 @@ def remove_repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     )
     able = checkpoint(able.filter("inside or sorted or covered"))
     wanted = able.filter("sorted").groupBy("row").agg(F.collect_list(F.struct("p", "n", "a", "whole", "parts")).alias("wanted"))
-    texts = table.join(wanted.hint("shuffle_hash"), "row").select("row", "text", "wanted")
+    texts = table.join(wanted.hint(method), "row").select("row", "text", "wanted")
     strings = _strings(texts, length)
     strings = strings.repartition(F.col("a"), F.col("part")).sortWithinPartitions("a", "part")
     single = _repeated(strings, length)
     cover = able.filter("inside").select("row", "p", "n").unionByName(able.filter("covered").select("row", "p", (F.col("n") + length - 1).alias("n"))).unionByName(single)
     cover = checkpoint(cover.groupBy("row").agg(F.collect_list(F.struct("p", "n")).alias("cover")))
-    joined = table.join(cover.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "cover")
+    joined = table.join(cover.hint(method), "row", "left").select("doc_id", "text", "cover")
     return _finish(joined, dict(docs.dtypes)["doc_id"])
 
 

@@ -114,3 +114,18 @@ def test_other_lengths_and_empty(spark):
     assert op.remove_repeated(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     with pytest.raises(ValueError):
         op.remove_repeated(spark.createDataFrame([], "doc_id long, text string"), 100)
+
+
+def test_no_more_buckets_than_allowed(spark, monkeypatch):
+    monkeypatch.setattr(op, "BUCKET_BYTES", 100)
+    shared = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(700))
+    docs = spark.createDataFrame([(i, f"{i} " * i + (shared if i % 3 else "") + f" {i * i}" * 90) for i in range(60)], "doc_id long, text string")
+    want = sorted(op.remove_repeated(docs).collect())
+    key = "spark.sql.sources.bucketing.maxBuckets"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "5")
+    try:
+        assert sorted(op.remove_repeated(docs).collect()) == want
+    finally:
+        spark.conf.set(key, before)
+    assert sum(r.n_removed for r in want) >= 40 * 700
