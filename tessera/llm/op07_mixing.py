@@ -20,7 +20,7 @@ Sources of the group have no slots in it (null ``mix_slots`` and ``mix_cycle``).
 
 Defined results: rows without a source form a source of their own; the order inside a source is by the MD5 of the id,
 then the id (null first), copies of an id in any order; text is never read; sources without rows get no slots; an
-empty table gives an empty one.
+empty table gives an empty one; columns of any names are kept, but for those of the names of the results, which are replaced.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 BLOCK, RESOLUTION, MAX_SOURCES = 16, 1000, 2000
 BUCKET_ROWS, SMALL = 20_000, 10
+_RESULTS = ("mix_slots", "mix_cycle", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position")
 
 
 def _digest(key: str) -> Column:
@@ -98,6 +99,12 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, source: str = "source
 
     Rows of sources without a weight are kept behind all others (null position last).
     """
+    docs = docs.drop(*(c for c in docs.columns if c.lower() in _RESULTS and c not in (source, key)))
+    held = "held__"
+    while any(c.lower().startswith(held) for c in docs.columns):
+        held += "_"
+    held = {c: f"{held}{i}" for i, c in enumerate(docs.columns) if c.lower().startswith(("mix__", "by__")) and c not in (source, key)}
+    docs = docs.withColumnsRenamed(held)
     weights = target_weights(docs, source) if weights is None else weights
     parts = levels(weights)
     inside = parts.filter("not small").select(F.col("source").alias("big__"))
@@ -129,7 +136,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, source: str = "source
     last = f"cast((cast(mix_block + 1 as decimal(19,0)) * {least[0]} + {least[1]} - 1) div {least[1]} - 1 as bigint)"
     rows = rows.withColumn("mix_deadline", F.expr(f"1 + if(mix__small, {_outward(last, least[2])}, {_outward('((mix_block + 1) * mix_cycle + mix_slots - 1) div mix_slots - 1')})"))
     rows = rows.withColumn("mix_position", F.col("mix_slot") * block + index % block)
-    return rows.drop("mix__source", "mix__digest", "mix__bucket", "mix__n", "mix__plan", "mix__small", "mix__levels", "by__before")
+    return rows.drop("mix__source", "mix__digest", "mix__bucket", "mix__n", "mix__plan", "mix__small", "mix__levels", "by__before").withColumnsRenamed({new: old for old, new in held.items()})
 
 
 ORACLE = f"""

@@ -66,3 +66,12 @@ def test_many_small_sources_keep_their_weights(spark):
         if r.source != "big":
             small.setdefault(r.source, []).append(r.mix_slot)
     assert all(0 <= a < 2 * n <= b < 4 * n for a, b in map(sorted, small.values()))
+
+
+def test_columns_of_the_same_names(spark):
+    docs = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(50)], "doc_id long, source string")
+    want = {r.doc_id: r.mix_position for r in op.mix(docs).collect()}
+    clash = docs.selectExpr("*", "'x' as mix_slots", "7 as MIX__n", "8 as by__before", "9 as held__0", "1 as mix_position")
+    got = op.mix(clash).collect()
+    assert {r.doc_id: r.mix_position for r in got} == want
+    assert {(r.MIX__n, r.by__before, r.held__0, r.mix_slots) for r in got} == {(7, 8, 9, got[0].mix_slots)} and got[0].mix_slots != "x"
