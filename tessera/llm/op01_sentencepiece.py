@@ -158,19 +158,20 @@ def decode(encoded: DataFrame, model_file: str, id_col: str = "doc_id", ids_col:
     return rows.mapInArrow(work, f"`{id_col}` {dict(rows.dtypes)[id_col]}, text string")
 
 
-def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, encoded and decoded through the table."""
+def round_trip(docs: DataFrame, model_file: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, encoded and decoded through the table; then the columns ``keep`` as they are."""
     small_batches(docs.sparkSession)
-    rows = docs.select("doc_id", docs["text"].cast("string"))
+    rows = docs.select("doc_id", docs["text"].cast("string"), *keep)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(model_file)
         for batch in batches:
             n, ids, back = zip(*table.digests([t.as_py() or "" for t in batch.column(1)])) if batch.num_rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string()), *batch.columns[2:]],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *keep],
             )
 
-    kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(work, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    kinds = dict(rows.dtypes)
+    kept = "".join(f", `{c}` {kinds[c]}" for c in keep)
+    return rows.mapInArrow(work, f"doc_id {kinds['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string{kept}")
