@@ -38,7 +38,11 @@ def test_stages_against_brute_force(spark, tmp_path):
             assert order == [r.doc_id for r in sorted(mixed, key=lambda r: r.mix_position)]
         before = after
     sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    for r in cp.tokenize(spark, docs, "").collect():
+    position = {r.doc_id: r.mix_position for r in mixed}
+    # the order of the mixture is that of the result, whatever the files from which the texts were read again
+    for found in (cp.tokenize(spark, docs, "").collect(), cp.tokenize(spark, docs.repartition(9, "doc_id"), "").collect()):
+        assert [r.position for r in found] == [position[r.doc_id] for r in found] == sorted(position.values())
+    for r in found:
         ids = sp.encode(before[r.doc_id].text)
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
