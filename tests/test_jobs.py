@@ -209,3 +209,41 @@ def test_nearest(spark, monkeypatch):
     s = np.round(x @ x.T, 9)
     want = [(i, r + 1, j) for i in range(315) for r, j in enumerate(sorted((j for j in range(315) if j != i), key=lambda j: (-s[i, j], j))[:7])]
     assert got == want
+
+
+def test_nearest_over_many_cells(spark, monkeypatch):
+    """Clusters cut into shells, cells of copies cut into parts, and cells that many ask, against all pairs."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(9, 12))[i % 9] * 5 + rng.normal(size=12) * (0.2 + i % 3) for i in range(500)]).reshape(500, 12)
+    x = np.concatenate([x, np.repeat(x[:1], 250, 0), rng.normal(size=(150, 12))])  # a hot vector, and some without structure
+    for name, value in {"BLOCK": 30, "PIVOTS": 12, "LEAF": 20, "PIECE": 16}.items():
+        monkeypatch.setattr(similar, name, value)
+    got = rows(similar.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), n=4), "item", "rank", "other")
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    s = np.round(x @ x.T, 9)
+    want = [(i, r + 1, int(j)) for i in range(900) for r, j in enumerate([j for j in np.lexsort((np.arange(900), -s[i])) if j != i][:4])]
+    assert got == want
+    assert similar.nearest(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+    few = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [-1.0, 0.0])], "vec_id long, embedding array<double>")
+    assert rows(similar.nearest(few), "item", "rank", "other") == [(1, 1, 2), (1, 2, 3), (2, 1, 1), (2, 2, 3), (3, 1, 2), (3, 2, 1)]
+
+
+def test_tree_of_similar_items():
+    import numpy as np
+    from types import SimpleNamespace as Row
+
+    class Shell(Row):
+        def __getitem__(self, name):
+            return getattr(self, name)
+
+    pivots = np.eye(3)
+    shells = [Shell(cluster=0, first=0, n=25, lo=0.0, hi=0.2), Shell(cluster=0, first=500, n=10, lo=0.4, hi=0.6), Shell(cluster=1, first=0, n=95, lo=0.0, hi=0.1), Shell(cluster=2, first=0, n=5, lo=0.0, hi=0.3)]
+    tree = similar._Tree(pivots, shells, 20)
+    assert tree.cell.tolist() == [0, 1, 1, 2] and tree.parts.tolist() == [1, 3, 1] and tree.places() == 5
+    assert tree.place(np.array([0, 0, 1, 2]), np.array([499, 500, 9, 0]), np.array([7, 7, 8, 9])).tolist() == [0, 2, 3, 4]
+    row, place = tree.asks(np.array([[1.0, 0.0, 0.0]]), np.array([0.9]), np.array([0]))
+    assert place.tolist() == [1, 2, 3]  # the outer shell, cos 0.4 > 0.9, shares its cell with the second cluster; the third is too far
+    row, place = tree.asks(np.array([[1.0, 0.0, 0.0]]), np.array([-3.0]), np.array([2]))
+    assert place.tolist() == [0, 1, 3, 4]
