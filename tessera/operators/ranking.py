@@ -87,7 +87,8 @@ def sample_negatives(positives: DataFrame, items: DataFrame, seed: int = 0, user
     total = index.agg(F.count("*").alias("items__"))  # one row
     pos = counted_before(pos, user, ["idx"], F.lit(1), F.expr(f"idx div {ITEM_RANGE}"), "k").withColumn("k", (F.col("k") - 1).cast("int"))
     pos = pos.join(pos.groupBy(user).agg(F.count("*").alias("n")), user).join(F.broadcast(total)).filter("items__ > n")
-    draws = pos.select(user, F.col("k").alias("draw"), (draw(user, "k", seed) % (F.col("items__") - F.col("n"))).alias("at"), F.lit(1).alias("kind"))
+    others = F.greatest(F.col("items__") - F.col("n"), F.lit(1))  # Spark may divide before the filter
+    draws = pos.select(user, F.col("k").alias("draw"), (draw(user, "k", seed) % others).alias("at"), F.lit(1).alias("kind"))
     marks = pos.select(user, F.lit(-1).cast("int").alias("draw"), (F.col("idx") - F.col("k")).alias("at"), F.lit(0).alias("kind"))
     moved = counted_before(marks.unionByName(draws), user, ["at", "kind"], 1 - F.col("kind"), F.expr(f"at div {ITEM_RANGE}"), "past").filter("kind = 1")
     return moved.select(user, "draw", (F.col("at") + F.col("past")).alias("idx")).join(index, "idx").select(user, "draw", item)
