@@ -194,6 +194,42 @@ def test_rerank(spark):
     assert set(own) == {a, b, c}
 
 
+def test_rerank_by_user_and_item(spark):
+    """Items of a user are compared once whatever the number of events; repeated entries, several items or users of an event and null items count as if each pair were a row."""
+    from collections import defaultdict
+    from itertools import product
+    from math import log2
+
+    past = [(u, i, float(1 + (u * 3 + i) % 5), i % 4) for u in range(4) for i in range(7)] + [(1, None, 4.0, 9), (2, 3, None, 9), (None, 1, 5.0, 1)]
+    sims = [(i, (i * 2 + k) % 8, 0.35 + 0.1 * ((i + k) % 6)) for i in range(8) for k in (1, 1, 3, 4)] + [(2, 5, None), (3, None, 0.9), (None, 2, 0.9), (1, 5, 0.99)]
+    events = [(e, e % 5, e % 9) for e in range(40)] * 2 + [(3, 3, 7), (3, 1, 2), (4, 4 % 5, 1), (5, 0, None), (6, None, 2), (None, 1, 2), (7, 2, 1)]
+    frames = [spark.createDataFrame(r, s) for r, s in ((events, "event_id int, user int, item int"), (past, "user int, item int, rating double, ts int"), (sims, "item1 int, item2 int, similarity double"))]
+    seen, largest = set(events), defaultdict(lambda: None)
+    for a, b, s in sims:
+        if None not in (a, b, s):
+            largest[a, b] = max(s, largest[a, b] or 0)
+    latest = {u: sorted((r for r in past if r[0] == u), key=lambda r: (-r[3], r[1] is not None, r[1] or 0))[:5] for u in range(5)}
+    for own, per_event in product((True, False), (True, False)):
+        groups, by = defaultdict(list), defaultdict(int)
+        for e, u in {(e, u) for e, u, _ in seen if e is not None and u is not None}:
+            froms = [i for x, _, i in seen if x == e]
+            cand = [b for i in froms for a, b, _ in sims if a == i and i is not None] + [i for i in froms if own and i is not None and any(a == i for a, _, _ in sims)]
+            for item, r in product(cand, [r for x in seen if x[:2] == (e, u) for r in latest[u]]):
+                s = 1.0 if own and item is not None and item == r[1] else largest[item, r[1]] or 0.6
+                if s > 0.5:
+                    groups[e, u, item].append((s, r[2]))
+                    by[e] += 1
+        want = {}
+        for (e, u, item), pairs in groups.items():
+            total = sum(s * x for s, x in pairs if x is not None) / (by[e] if per_event else len(pairs))
+            want[e, u, item] = round(total + log2(max(1, sum(x is not None and x >= 3 for _, x in pairs))) - log2(max(1, sum(x is not None and x < 3 for _, x in pairs))), 6)
+        got = rerank.rerank(*frames, include_self=own, normalize="event" if per_event else "candidate").collect()
+        assert len(got) == len(want) and {(r.event_id, r.user, r.item): round(r.score, 6) for r in got} == want
+    wanted = spark.createDataFrame([(1, i) for i in range(3)], "user int, item int")
+    once = rerank.user_scores(wanted, rerank.latest_ratings(frames[1]), frames[2], 0.6, 0.5, True).collect()
+    assert sorted((r.user, r.item) for r in once) == [(1, 0), (1, 1), (1, 2)] and all(r.pairs <= rerank.LATEST for r in once)
+
+
 def test_nearest(spark, monkeypatch):
     import numpy as np
 
