@@ -8,7 +8,7 @@ item is sent, once for each cell however many clusters are in it, to the cells w
 at most ``PIECE`` vectors, the most promising first, and the bar rises on the way. Where very many items ask one cell, they are dealt into turns, each with a copy of the cell, by counts taken before.
 
 The result is exact at any size; the worst case (no bound helps, as with vectors of high dimension without structure) compares all pairs, and each vector then
-travels once for each block of rows. The driver and the tasks know the pivots and the table of shells, at most ``PIVOTS`` + ``SHELLS`` entries: blocks grow where there would be more.
+travels once for each block of rows: to ``CELLS`` cells or so up to ``CELLS`` * ``BLOCK`` rows, and its copies to the turns of the askers. The driver and the tasks know the pivots and the table of shells, at most ``PIVOTS`` + ``SHELLS`` entries: blocks grow where there would be more.
 
 Null and zero vectors and those with null or non-finite components have no similarity and are dropped; an item is not its own
 neighbour; ties, to nine decimals, go to the smaller id; an empty table gives an empty one.
@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import scratch_path
 
-PIVOTS, LEAF, BLOCK, SHELLS = 2048, 256, 32_768, 65_536
+PIVOTS, LEAF, BLOCK, SHELLS = 2048, 256, 131_072, 65_536
+#: Cells as long as blocks may grow: a vector that no bound keeps back travels to so many. Askers of a turn, in blocks and at most.
+CELLS, TURN, ASKERS = 16, 4, 131_072
 #: Steps of the angle, from which shells are made; rows of a product; slack of a bound, far above the rounding of angles.
 STEPS, PIECE, SLACK = 4096, 512, 1e-7
 _FOUND = "item long, other long, similarity double"
@@ -57,6 +59,11 @@ def _stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _block(total: int) -> int:
+    """Rows of a block: few cells, as each is one more journey for a vector, but tasks enough with the turns of their askers."""
+    return max(min(BLOCK, max(1024, -(-total // CELLS))), total // SHELLS)
+
+
 def _ceiling(angles: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """The most that the cosine can be of vectors whose angles to the pivots are lo to hi."""
     return np.cos(np.maximum(0, np.maximum(angles - hi, lo - angles)))
@@ -145,7 +152,7 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     total = unit.count()
     if not total:
         return spark.createDataFrame([], "item long, rank int, other long, similarity double")
-    block = max(min(BLOCK, max(1024, total // 64)), total // SHELLS)
+    block = _block(total)
     chosen = unit.orderBy(F.xxhash64("id"), "id").limit(min(PIVOTS, -(-total // LEAF))).collect()  # at most PIVOTS rows
     pivots = np.stack([np.frombuffer(r.v, np.float64) for r in chosen])
 
@@ -206,7 +213,7 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     counted = asking.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
     turns = np.zeros(tree.places(), np.int64)
     for r in counted:
-        turns[r.place] = -(-r.n // (4 * block))
+        turns[r.place] = -(-r.n // min(TURN * block, ASKERS))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -266,6 +266,12 @@ def test_nearest_over_many_cells(spark, monkeypatch):
     assert rows(similar.nearest(few), "item", "rank", "other") == [(1, 1, 2), (1, 2, 3), (2, 1, 1), (2, 2, 3), (3, 1, 2), (3, 2, 1)]
 
 
+def test_blocks_of_similar_items_bound_the_journeys():
+    """Vectors without structure travel to every cell: the number of cells does not follow the rows."""
+    for total in (30_000, 102_564, 615_384, 2_000_000):
+        assert total / similar._block(total) <= 16
+
+
 def test_tree_of_similar_items():
     import numpy as np
     from types import SimpleNamespace as Row
