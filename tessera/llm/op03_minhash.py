@@ -199,10 +199,13 @@ def _compared(asks: DataFrame, members: DataFrame, sets: DataFrame, sizes: DataF
     Members come in blocks of about ``BLOCK`` sets or ``BLOCK_SHINGLES`` shingles, whichever is less; those who ask meet every block, so nothing holds a whole group and no pair is
     a row. ``joined``: the members of a group are one component already, so one link for each ask is enough.
     """
-    blocks = members.join(sizes, "set").groupBy("group").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    held = members.join(blocks, "group").select("group", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("asks"), "set")
-    asked = asks.join(blocks, "group").select("group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "set")
-    rows = held.unionByName(asked).join(sets, "set").select("group", "block", "asks", "set", "shingles")
+    held = members.join(sizes, "set").select("group", "set", F.lit(0).alias("asks"), "n")
+    rows = held.unionByName(asks.select("group", "set", F.lit(1).alias("asks"), F.lit(0).cast(dict(held.dtypes)["n"]).alias("n")))
+    blocks = held.groupBy("group").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    own = F.array(F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    every = F.when(F.col("asks") == 1, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(own)
+    rows = rows.join(blocks, "group").select("group", F.explode(every).alias("block"), "asks", "set")
+    rows = rows.join(sets, "set").select("group", "block", "asks", "set", "shingles")
     rows = rows.repartition(F.col("group"), F.col("block")).sortWithinPartitions("group", "block", "asks", "set")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

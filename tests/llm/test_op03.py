@@ -2,8 +2,10 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from tessera.llm import op03_minhash as op
+from tessera.llm import components as linked
 from tessera.llm.components import connected
 
 
@@ -108,6 +110,24 @@ def test_components(spark):
     assert got == {i: find(i) for i in root if find(i) != i or any(find(j) == i and j != i for j in root)} or alone
 
 
+@pytest.mark.parametrize("most", [15, 1000])
+def test_components_of_several_partitions_and_of_one(spark, monkeypatch, most):
+    monkeypatch.setattr(linked, "LINKS", most)  # 15: partitions that join some of their nodes at a time, then rounds
+    rng = random.Random(8)
+    links = [(b"%03d" % i, b"%03d" % (i + 1)) for i in range(100, 180)] + [(b"x", b"%03d" % rng.randrange(500, 600)) for _ in range(50)] + [(None, b"y"), (b"y", None), (b"y", b"y"), (b"z", b"zz"), (b"zz", b"z"), (b"z", b"zz")]
+    rng.shuffle(links)
+    got = [(bytes(r.node), bytes(r.root)) for r in connected(spark.createDataFrame(links, "a binary, b binary").repartition(7)).collect()]
+    hub = {y for x, y in links if x == b"x"}
+    least = min(hub)
+    assert sorted(got) == sorted([(b"%03d" % i, b"100") for i in range(100, 181)] + [(x, least) for x in hub | {b"x"}] + [(b"z", b"z"), (b"zz", b"z")])
+
+
+def test_few_links_take_no_round(spark, monkeypatch):
+    monkeypatch.setattr(linked, "_state", lambda links: pytest.fail("a round of stars, each with its exchanges, for one partition of links"))
+    path = connected(spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long"))
+    assert {(r.node, r.root) for r in path.collect()} == {(i, 0) for i in range(301)}
+
+
 def test_blocks_of_text_and_of_hits_change_nothing(monkeypatch):
     rng = np.random.default_rng(9)
     text = " ".join(rng.choice(["a", "Bc", "déf", "g" * 40], 800))
