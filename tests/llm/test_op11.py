@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -74,6 +75,45 @@ def test_steps_give_the_intervals_of_both_orders():
         assert all((text[::-1][back[r] : back[r] + 2] == words[::-1]).all() for r in range(j, j + c))
 
 
+def test_steps_go_by_slices(monkeypatch):
+    rng = np.random.default_rng(4)
+    text = np.concatenate([[0], rng.zipf(1.3, 200_000) % 5000, [0]])
+    before, _ = op.transform(text)
+    size = np.bincount(text)[1:]
+    lo = np.cumsum(size) + np.count_nonzero(text == 0) - size
+    size, lo = size[size > 1], lo[size > 1]
+    whole = [x.tolist() for x in op.step(before.astype("<u2"), lo, lo, size)]
+    tracemalloc.start()
+    peaks = []
+    for words in (1 << 30, 1 << 10):
+        monkeypatch.setattr(op, "STEP_WORDS", words)
+        tracemalloc.reset_peak()
+        held = tracemalloc.get_traced_memory()[0]
+        n = sum(len(found[0]) for found in op.steps(before, lo, lo, size))
+        peaks.append(tracemalloc.get_traced_memory()[1] - held)
+        assert n == len(whole[0]) and [x.tolist() for x in op.step(before, lo, lo, size)] == whole
+    tracemalloc.stop()
+    assert peaks[1] < 0.7 * peaks[0]
+    assert [len(x) for x in op.step(before, lo[:0], lo[:0], size[:0])] == [0] * 4
+
+
+def test_shards_reach_python_a_few_at_a_time(spark, monkeypatch, tmp_path):
+    most = op.BATCH_BYTES
+    monkeypatch.setattr(op, "BATCH_BYTES", 100)
+    build = op._build
+
+    def counted(batches):
+        for batch in batches:
+            (tmp_path / f"{batch.num_rows}").touch()
+            yield from build(iter([batch]))
+
+    monkeypatch.setattr(op, "_build", counted)
+    before = spark.conf.get(op.BATCH_KEY)
+    df = spark.createDataFrame(texts(5, 30, 60, "en"), "lang string, text string").coalesce(1)
+    assert op.phrases(df, 3, 64).count()
+    assert [p.name for p in tmp_path.iterdir()] == ["1"] and spark.conf.get(op.BATCH_KEY) == before and most <= 1 << 22
+
+
 def test_large_products_are_exact(spark):
     big = 3_000_000_000_007
     row = [("en", "a b", 2, big, 7 * big, [2 * big, big], [3 * big, big], None)]
