@@ -3,6 +3,7 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import op11_collocations as op
@@ -114,6 +115,26 @@ def test_shards_reach_python_a_few_at_a_time(spark, monkeypatch, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["1"] and spark.conf.get(op.BATCH_KEY) == before and most <= 1 << 22
 
 
+def test_a_shard_fits_into_a_batch(monkeypatch):
+    monkeypatch.setattr(op, "TaskContext", type("Task", (), {"get": classmethod(lambda cls: cls), "partitionId": classmethod(lambda cls: 2)}))
+    text = pa.array([b"a b c d " * 300_000], pa.binary())
+    rows = list(op._gather(iter([pa.RecordBatch.from_arrays([pa.array(["en"]), text], ["lang", "text"])]), op.SHARD_WORDS))
+    codes = [c.as_py() for r in rows for c in r.column("codes") if c.as_py()]
+    assert len(codes) == 2 and max(map(len, codes)) <= op.BATCH_BYTES
+
+
+@pytest.mark.parametrize("most", [5, 1 << 16, 1 << 22])
+def test_suffix_order_is_stable_and_small(most):
+    text = np.random.default_rng(6).integers(0, most, 100_000).astype(np.int32)
+    some = text[:500].tolist()
+    assert op.suffix_order(text[:500]).tolist() == sorted(range(500), key=lambda i: (some + some)[i : i + op.DEPTH])
+    tracemalloc.start()
+    order = op.suffix_order(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak <= 23 * len(order)
+
+
 def test_large_products_are_exact(spark):
     big = 3_000_000_000_007
     row = [("en", "a b", 2, big, 7 * big, [2 * big, big], [3 * big, big], None)]
