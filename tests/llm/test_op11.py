@@ -121,6 +121,8 @@ def test_a_shard_fits_into_a_batch(monkeypatch):
     rows = list(op._gather(iter([pa.RecordBatch.from_arrays([pa.array(["en"]), text], ["lang", "text"])]), op.SHARD_WORDS))
     codes = [c.as_py() for r in rows for c in r.column("codes") if c.as_py()]
     assert len(codes) == 2 and max(map(len, codes)) <= op.BATCH_BYTES
+    words = [w for r in rows for w in r.select(["word", "n"]).to_pylist() if w["word"]]  # one table of words for both
+    assert words == [{"word": w, "n": 300_000} for w in (b"a", b"b", b"c", b"d")]
 
 
 @pytest.mark.parametrize("most", [5, 1 << 16, 1 << 22])
